@@ -9,11 +9,11 @@ from tallyweave.catalogue.adapters import (
 )
 from tallyweave.catalogue.registry import query
 from tallyweave.functions import (
-    compose_name, email_address, email_key, money, net_amount, or_default, source_key,
+    compose_name, email_address, email_key, net_amount, or_default, source_key,
     to_long, trim_blank,
 )
 from tallyweave.functions.frames import (
-    clean_strings as clean_strings_in, impute_nulls as impute_nulls_in,
+    clean, clean_strings as clean_strings_in, impute_nulls as impute_nulls_in,
     normalize_emails as normalize_emails_in, standardize_amounts, standardize_currency,
     standardize_timestamps as standardize_timestamps_in,
 )
@@ -81,15 +81,17 @@ def amounts_cents(spark, folder):
     from lineitem""")
 def amounts_units(spark, folder):
     tax = F.when(F.col("l_returnflag") == "N", "n/a").otherwise(F.col("l_tax").cast("string"))
-    return table(spark, folder, "lineitem").select(
-        "l_orderkey", "l_linenumber", money(F.col("l_extendedprice")).alias("price"), money(tax).alias("tax"))
+    rows = table(spark, folder, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.col("l_extendedprice").alias("price"), tax.alias("tax"))
+    return clean(rows, amounts={"price": "price", "tax": "tax"})
 
 
 @query("net_amounts", f"""
     select id, {o_money('(amount - coalesce(amount_refunded, 0))', True)} as net from {rows_of('billing_charges')}""")
 def net_amounts(spark, folder):
-    amount, refunded = money(F.col("amount"), True), money(F.col("amount_refunded"), True)
-    return raw(spark, folder, "billing_charges").select("id", net_amount(amount, refunded).alias("net"))
+    rows = raw(spark, folder, "billing_charges").select("id", "amount", "amount_refunded")
+    rows = clean(rows, cents={"amount": "amount", "amount_refunded": "amount_refunded"})
+    return rows.select("id", net_amount(F.col("amount"), F.col("amount_refunded")).alias("net"))
 
 
 @query("currency_codes", f"""

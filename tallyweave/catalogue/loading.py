@@ -1 +1,221 @@
-"""Placeholder."""
+"""Upserts: as plans, as writes to warehouse tables, and as a stream."""
+
+from __future__ import annotations
+
+import uuid
+from datetime import datetime, timezone
+
+from pyspark.sql import DataFrame, functions as F
+
+from tallyweave.catalogue.adapters import (
+    AS_OF, CUSTOMER_NAMES, MAPPED, TRANSACTION_NAMES, raw, spark_sql, table,
+)
+from tallyweave.catalogue.registry import query
+from tallyweave.catalogue.resolved import FACTS, PROFILES, all_tables
+from tallyweave.operators.merge import existing_keys as existing_keys_of, last_per_key, merge_counts, merge_plan
+from tallyweave.operators.quality import ROW_RULES, row_is_valid
+from tallyweave.operators.warehouse import Warehouse, load_summary as load_summary_of
+from tallyweave.plans.run import run
+from tallyweave.schemas import BILLING, CRM
+from tallyweave.session import fresh_folder
+from tallyweave.sources.landing import write_landing
+from tallyweave.streaming.sync import sync
+
+NOW = datetime(2026, 1, 1, tzinfo=timezone.utc)
+# Two loads that overlap by one year: what was loaded before, and the batch.
+_BEFORE = "o_orderdate < timestamp '2000-01-01 00:00:00'"
+_BATCH = "o_orderdate >= timestamp '1999-01-01 00:00:00'"
+_OLD = f"""select o_orderkey, o_totalprice as price, o_orderstatus as status, o_orderpriority as note,
+      '2025-01-01 00:00:00' as updated_at from {{orders}} where {_BEFORE}"""
+_NEW = f"""select o_orderkey, o_totalprice + 1 as price, lower(o_orderstatus) as status,
+      case when o_orderstatus = 'P' then null else o_orderpriority end as note,
+      '2025-06-01 00:00:00' as updated_at from {{orders}} where {_BATCH}"""
+_OLD_SQL, _NEW_SQL = _OLD.replace("{orders}", "orders"), _NEW.replace("{orders}", "orders")
+
+
+def _sides(spark, folder) -> tuple[DataFrame, DataFrame]:
+    return spark_sql(spark, folder, _OLD), spark_sql(spark, folder, _NEW)
+
+
+def _warehouse(spark, buckets: int = 16, broadcast_keys: int | None = None) -> Warehouse:
+    name = f"tallyweave_{uuid.uuid4().hex[:12]}"
+    extra = {} if broadcast_keys is None else {"broadcast_keys": broadcast_keys}
+    return Warehouse(spark, name, fresh_folder(spark, name), buckets=buckets, **extra)
+
+
+@query("dedupe_last_wins", """
+    select id, r.a as partkey, r.b as suppkey, strftime(r.c, '%Y-%m-%d') as shipdate, r.d as price from (
+      select cast(l_orderkey as varchar) || '-' || cast(l_linenumber as varchar) as id,
+        max(struct_pack(a := l_partkey, b := l_suppkey, c := l_shipdate, d := l_extendedprice)) as r
+      from lineitem group by 1)""")
+def dedupe_last_wins(spark, folder):
+    rows = table(spark, folder, "lineitem").select(
+        F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("id"),
+        F.col("l_partkey").alias("partkey"), F.col("l_suppkey").alias("suppkey"),
+        F.date_format("l_shipdate", "yyyy-MM-dd").alias("shipdate"), F.col("l_extendedprice").alias("price"))
+    return last_per_key(rows, "id", ("partkey", "suppkey", "shipdate", "price"))
+
+
+@query("existing_keys", f"select o_orderkey from orders where {_BEFORE} and {_BATCH}")
+def existing_keys(spark, folder):
+    return existing_keys_of(*_sides(spark, folder), "o_orderkey")
+
+
+def _merge_sql(status: str, note: str) -> str:
+    return f"""
+      select coalesce(n.o_orderkey, o.o_orderkey) as o_orderkey,
+        case when n.o_orderkey is not null then n.price else o.price end as price,
+        {status} as status, {note} as note,
+        case when n.o_orderkey is not null and o.o_orderkey is not null then '2026-01-01 00:00:00'
+             else coalesce(n.updated_at, o.updated_at) end as updated_at,
+        case when n.o_orderkey is null then 'keep' when o.o_orderkey is null then 'insert' else 'update' end as _op
+      from ({_OLD_SQL}) o full join ({_NEW_SQL}) n on o.o_orderkey = n.o_orderkey"""
+
+
+_REPLACE = _merge_sql("case when n.o_orderkey is not null then n.status else o.status end",
+                      "case when n.o_orderkey is not null then n.note else o.note end")
+_GIVEN = _merge_sql("case when o.o_orderkey is not null then o.status else n.status end",
+                    "case when o.o_orderkey is not null then o.note else n.note end")
+_STAMP = "2026-01-01 00:00:00"
+
+
+@query("upsert_plan", _REPLACE)
+def upsert_plan(spark, folder):
+    return merge_plan(*_sides(spark, folder), "o_orderkey", F.lit(_STAMP))
+
+
+@query("upsert_partial", _GIVEN)
+def upsert_partial(spark, folder):
+    return merge_plan(*_sides(spark, folder), "o_orderkey", F.lit(_STAMP), given=("o_orderkey", "price"))
+
+
+@query("upsert_counts", f"""
+    select count(*) filter (where _op <> 'keep') as rows_processed, count(*) filter (where _op = 'insert')
+      as rows_inserted, count(*) filter (where _op = 'update') as rows_updated from ({_REPLACE})""")
+def upsert_counts(spark, folder):
+    return merge_counts(upsert_plan(spark, folder))
+
+
+def _text_times(rows: DataFrame) -> DataFrame:
+    """Timestamps as text, so that both engines give the same value."""
+    return rows.select(*[
+        F.date_format(f.name, "yyyy-MM-dd HH:mm:ss").alias(f.name) if f.dataType.typeName() == "timestamp"
+        else F.col(f.name) for f in rows.schema.fields])
+
+
+def _loaded_charges(warehouse: Warehouse, spark, folder) -> Warehouse:
+    charges = all_tables(spark, folder)["transactions"].where(F.col("source_system") == BILLING)
+    day = F.substring("transaction_date", 1, 10)
+    warehouse.upsert("transactions", charges.where(day < "2000-01-01"), "first", now=NOW)
+    changed = charges.where(day >= "1999-01-01").withColumns({
+        "amount": F.col("amount") + 1.0, "customer_email": F.lit("late@example.com")})
+    warehouse.upsert("fact_transactions", changed, "second", now=NOW)
+    return warehouse
+
+
+_STORED_CHARGES = f"""
+    select {', '.join({
+        'amount': "case when transaction_date >= '1999-01-01' then amount + 1 else amount end as amount",
+        'customer_email': "case when transaction_date >= '1999-01-01' then 'late@example.com' end as customer_email",
+        'transaction_date': "replace(replace(transaction_date, 'T', ' '), 'Z', '') as transaction_date",
+        'ingestion_timestamp': "'2026-01-01 00:00:00' as ingestion_timestamp",
+    }.get(c, c) for c in TRANSACTION_NAMES)}, '2026-01-01 00:00:00' as updated_at
+    from ({MAPPED['billing_charges']})"""
+
+
+@query("upsert_write", _STORED_CHARGES)
+def upsert_write(spark, folder):
+    return _text_times(_loaded_charges(_warehouse(spark), spark, folder).read("transactions"))
+
+
+@query("upsert_write_shuffled", _STORED_CHARGES)
+def upsert_write_shuffled(spark, folder):
+    """The same load as if the batch were too large to broadcast."""
+    warehouse = _warehouse(spark, broadcast_keys=0)
+    return _text_times(_loaded_charges(warehouse, spark, folder).read("transactions"))
+
+
+@query("load_audit", f"""
+    with c as (select transaction_date as d from ({MAPPED['billing_charges']}))
+    select 'first' as batch_id, 'fact_transactions' as target_table, count(*) as rows_processed,
+      count(*) as rows_inserted, 0 as rows_updated, 'SUCCESS' as status from c where d < '2000-01-01'
+    union all
+    select 'second', 'fact_transactions', count(*), count(*) filter (where d >= '2000-01-01'),
+      count(*) filter (where d < '2000-01-01'), 'SUCCESS' from c where d >= '1999-01-01'""")
+def load_audit(spark, folder):
+    return _loaded_charges(_warehouse(spark), spark, folder).audit().select(
+        "batch_id", "target_table", "rows_processed", "rows_inserted", "rows_updated", "status")
+
+
+_KEYS = f"""
+    select 'dim_customers' as target_table, count(*) as n from ({PROFILES})
+    union all select 'fact_transactions', count(distinct unified_transaction_id) from ({FACTS})
+    union all select 'fact_subscriptions', count(*) from ({MAPPED['billing_subscriptions']})
+      where source_customer_id is not null
+    union all select 'dim_companies', count(*) from ({MAPPED['crm_companies']})"""
+
+
+def _loaded_twice(spark, folder) -> Warehouse:
+    """The valid rows of all four tables, loaded two times."""
+    warehouse = _warehouse(spark)
+    tables = {n: t.where(row_is_valid(t, ROW_RULES[n])) for n, t in all_tables(spark, folder).items()}
+    for batch_id in ("first", "second"):
+        warehouse.load_all(tables, batch_id, now=NOW)
+    return warehouse
+
+
+@query("replay_idempotent", f"""
+    select 'first' as batch_id, target_table, n as rows_processed, n as rows_inserted, 0 as rows_updated from ({_KEYS})
+    union all select 'second', target_table, n, 0, n from ({_KEYS})""")
+def replay_idempotent(spark, folder):
+    return _loaded_twice(spark, folder).audit().select(
+        "batch_id", "target_table", "rows_processed", "rows_inserted", "rows_updated")
+
+
+@query("load_summary", f"""
+    select target_table, 2 as loads, 2 * n as rows_processed, n as rows_inserted, n as rows_updated,
+      '2026-01-01T00:00:00Z' as last_synced_at from ({_KEYS})""")
+def load_summary(spark, folder):
+    return load_summary_of(_loaded_twice(spark, folder).audit())
+
+
+# -- landed, then run or streamed -----------------------------------------------------------
+
+# A record is landed one second after the one with the key before it, so "first landed" is
+# the lowest key, which both engines can say.
+_BY_KEY = PROFILES.replace("}, source_id)", "}, cast(substr(source_id, 5) as bigint))").replace(
+    "), source_id)", "), cast(substr(source_id, 5) as bigint))")
+_SYNCED = f"""
+    select {', '.join("'2026-01-01 00:00:00' as ingestion_timestamp" if c == 'ingestion_timestamp' else
+                      f"replace(replace({c}, 'T', ' '), 'Z', '') as {c}" if c.startswith('source_') and c.endswith('_at')
+                      else c for c in CUSTOMER_NAMES)}
+    from ({_BY_KEY})"""
+_LANDED = (
+    ((BILLING, "customers"), "billing_customers", "id"), ((CRM, "accounts"), "crm_accounts", "Id"),
+    ((CRM, "contacts"), "crm_contacts", "Id"),
+)
+
+
+def _land_customers(spark, folder) -> str:
+    root = fresh_folder(spark, "landing")
+    for entity, adapter, key in _LANDED:
+        rows = raw(spark, folder, adapter)
+        number = F.substring(key, 5, 20).cast("bigint")
+        write_landing(rows, root, *entity, batch_id="b1", extracted_at=F.timestamp_seconds(1704067200 + number))
+    return root
+
+
+@query("stream_sync", _SYNCED)
+def stream_sync(spark, folder):
+    """Landed files to warehouse through one stream per table."""
+    warehouse = _warehouse(spark)
+    sync(spark, _land_customers(spark, folder), warehouse, fresh_folder(spark, "progress"), AS_OF)
+    return _text_times(warehouse.read("customers").drop("updated_at"))
+
+
+@query("full_run", _SYNCED)
+def full_run(spark, folder):
+    """Landed files to warehouse in one run, through the quality gate."""
+    warehouse = _warehouse(spark)
+    run(spark, _land_customers(spark, folder), warehouse, batch_id="run", now=NOW)
+    return _text_times(warehouse.read("customers").drop("updated_at"))

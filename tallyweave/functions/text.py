@@ -25,7 +25,7 @@ def trim_blank(value: Column) -> Column:
 
 def email_address(value: Column) -> Column:
     """Trimmed and lower-cased address, null when it has not the form of one."""
-    address = F.lower(trim_blank(value))
+    address = F.lower(F.btrim(value, F.lit(WHITE_SPACE)))
     return F.when(address.rlike(EMAIL_PATTERN), address)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from tallyweave.functions.numbers import to_double
-from tallyweave.functions.text import trim_blank
+from tallyweave.functions.text import WHITE_SPACE
 
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 # Numbers above this are milliseconds, and the range of years 1 to 9999.
@@ -13,43 +13,53 @@ MILLIS_ABOVE = 1e11
 FIRST_SECOND = -62135596800.0
 LAST_SECOND = 253402300799.0
 # A text has to start with a full date; a bare time would be read as a time of today.
-_ISO_START = r"^\d{4}-\d{2}-\d{2}"
+ISO_START = r"^\d{4}-\d{2}-\d{2}"
+# Further layouts that are understood; sections in brackets may be absent.
+SLASHED = "[yyyy/M/d][M/d/yyyy][ H:mm:ss]"
+SPELLED = "[MMMM d, yyyy][MMM d, yyyy][MMMM d yyyy][MMM d yyyy][d MMMM yyyy][d MMM yyyy][ H:mm:ss][ Z]"
+COMPACT = "yyyyMMdd'T'HHmmss[X]"
 _WEEKDAY = r"^[A-Za-z]{3}, "
-# Further layouts that are understood.
-OTHER_LAYOUTS = (
-    "yyyy/MM/dd HH:mm:ss", "yyyy/MM/dd", "MM/dd/yyyy HH:mm:ss", "MM/dd/yyyy",
-    "MMM d yyyy", "MMM d, yyyy", "MMMM d, yyyy", "d MMM yyyy",
-    "d MMM yyyy HH:mm:ss Z", "yyyyMMdd'T'HHmmssX", "yyyyMMdd'T'HHmmss",
-)
-
-
-def _in_range(seconds: Column) -> Column:
-    return F.when(seconds.between(FIRST_SECOND, LAST_SECOND), F.timestamp_seconds(seconds))
 
 
 def epoch_time(number: Column) -> Column:
-    """Instant of an epoch number in seconds or milliseconds."""
-    number = number.cast("double")
-    return _in_range(F.when(number > MILLIS_ABOVE, number / 1000.0).otherwise(number))
+    """Instant of an epoch number in seconds or milliseconds; null outside years 1 to 9999."""
+    scale = F.when(number > MILLIS_ABOVE, F.lit(1000.0)).otherwise(F.lit(1.0))
+    inside = (number >= FIRST_SECOND) & (number <= LAST_SECOND * 1000.0)
+    return F.when(inside, F.timestamp_seconds(number / scale))
 
 
 def epoch_seconds_time(number: Column) -> Column:
     """Instant of an epoch number that is always in seconds."""
-    return _in_range(number.cast("double"))
+    return F.when((number >= FIRST_SECOND) & (number <= LAST_SECOND), F.timestamp_seconds(number))
 
 
 def text_time(text: Column) -> Column:
-    """Instant of a date text; a text without a zone is UTC."""
-    undated = F.regexp_replace(text, _WEEKDAY, "")
-    layouts = [F.try_to_timestamp(undated, F.lit(layout)) for layout in OTHER_LAYOUTS]
-    return F.when(text.rlike(_ISO_START), text.try_cast("timestamp")).otherwise(F.coalesce(*layouts))
+    """Instant of a trimmed date text; a text without a zone is UTC."""
+    def read(value: Column, layout: str) -> Column:
+        return F.try_to_timestamp(value, F.lit(layout))
+
+    return (
+        F.when(text.rlike(ISO_START), text.try_cast("timestamp"))
+        .when(text.contains("/"), read(text, SLASHED))
+        .when(text.rlike("^[0-9]{8}T"), read(text, COMPACT))
+        .when(text.rlike("[A-Za-z]{3} "), read(F.regexp_replace(text, _WEEKDAY, ""), SPELLED))
+    )
+
+
+def time_of(number: Column, text: Column) -> Column:
+    """Instant of a trimmed text and the number in it, if it is one."""
+    return F.coalesce(epoch_time(number), text_time(text))
 
 
 def parse_time(value: Column) -> Column:
     """Instant of a number, a numeric text or a date text, or null."""
-    text = trim_blank(value.cast("string"))
-    number = to_double(text)
-    return F.when(number.isNotNull(), epoch_time(number)).otherwise(text_time(text))
+    text = F.btrim(value.cast("string"), F.lit(WHITE_SPACE))
+    return time_of(to_double(text), text)
+
+
+def is_iso_time(value: Column) -> Column:
+    """Whether a value is a timestamp or the ISO text of one."""
+    return F.coalesce(value.cast("string").rlike(ISO_START) & value.try_cast("timestamp").isNotNull(), F.lit(False))
 
 
 def utc_iso(value: Column) -> Column:
@@ -59,4 +69,4 @@ def utc_iso(value: Column) -> Column:
 
 def epoch_iso(number: Column) -> Column:
     """``utc_iso`` for a column that is already numeric."""
-    return F.date_format(epoch_time(number), ISO_FORMAT)
+    return F.date_format(epoch_time(number.cast("double")), ISO_FORMAT)

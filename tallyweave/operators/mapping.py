@@ -11,17 +11,10 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tallyweave.functions.frames import clean
 from tallyweave.functions.keys import reference_key, source_key
-from tallyweave.functions.numbers import money, net_amount, to_long
-from tallyweave.functions.text import (
-    DEFAULT_CURRENCY,
-    compose_name,
-    currency_code,
-    email_address,
-    or_default,
-    trim_blank,
-)
-from tallyweave.functions.times import utc_iso
+from tallyweave.functions.numbers import net_amount, to_long
+from tallyweave.functions.text import DEFAULT_CURRENCY, compose_name, or_default
 from tallyweave.schemas import BILLING, CANONICAL, CRM
 
 # The namespaces that go into the keys of CRM rows.
@@ -37,10 +30,6 @@ ORDER_DONE = "Activated"
 UNNAMED_ACCOUNT, UNKNOWN_NAME, DRAFT = "Unnamed Account", "Unknown", "Draft"
 
 
-def _text(name: str) -> Column:
-    return trim_blank(F.col(name).cast("string"))
-
-
 def _flag(name: str) -> Column:
     return F.coalesce(F.col(name).try_cast("boolean"), F.lit(False))
 
@@ -68,190 +57,198 @@ def order_status(status: Column) -> Column:
 
 
 def billing_customers(raw: DataFrame, as_of: str, keep: Sequence[str] = ()) -> DataFrame:
-    key, created = _text("id"), utc_iso(F.col("created"))
+    parts = {
+        "billing_street": "line1", "billing_city": "city", "billing_state": "state",
+        "billing_postal_code": "postal_code", "billing_country": "country",
+    }
+    flat = raw.withColumns({name: F.col(f"address.{part}") for name, part in parts.items()})
+    rows = clean(
+        flat, text=["id", "name", "description", "phone", *parts], emails={"email": "email"},
+        currencies={"currency": DEFAULT_CURRENCY}, times=["created"])
     return _emit(
-        raw, "customers", keep,
-        unified_customer_id=source_key("cust", BILLING, key),
+        rows, "customers", keep,
+        unified_customer_id=source_key("cust", BILLING, F.col("id")),
         source_system=BILLING,
-        source_id=key,
-        stripe_customer_id=key,
-        email=email_address(F.col("email")),
-        full_name=_text("name"),
-        company_name=_text("description"),
-        phone=_text("phone"),
-        billing_street=_text("address.line1"),
-        billing_city=_text("address.city"),
-        billing_state=_text("address.state"),
-        billing_postal_code=_text("address.postal_code"),
-        billing_country=_text("address.country"),
-        preferred_currency=currency_code(F.col("currency")),
+        source_id=F.col("id"),
+        stripe_customer_id=F.col("id"),
+        email=F.col("email"),
+        full_name=F.col("name"),
+        company_name=F.col("description"),
+        phone=F.col("phone"),
+        preferred_currency=F.col("currency"),
         is_active=True,
-        source_created_at=created,
-        source_updated_at=created,
+        source_created_at=F.col("created"),
+        source_updated_at=F.col("created"),
         ingestion_timestamp=as_of,
+        **{name: F.col(name) for name in parts},
     )
 
 
 def billing_charges(raw: DataFrame, as_of: str, keep: Sequence[str] = ()) -> DataFrame:
-    key, customer = _text("id"), _text("customer")
-    amount = money(F.col("amount"), in_cents=True)
-    refunded = money(F.col("amount_refunded"), in_cents=True)
+    rows = clean(
+        raw, text=["id", "customer", "status", "payment_method"], times=["created"],
+        cents={"amount": "amount", "amount_refunded": "amount_refunded"},
+        currencies={"currency": DEFAULT_CURRENCY})
+    customer = F.col("customer")
     return _emit(
-        raw, "transactions", keep,
-        unified_transaction_id=source_key("tx", BILLING, key),
+        rows, "transactions", keep,
+        unified_transaction_id=source_key("tx", BILLING, F.col("id")),
         source_system=BILLING,
-        source_transaction_id=key,
+        source_transaction_id=F.col("id"),
         unified_customer_id=reference_key("cust", BILLING, customer),
         source_customer_id=customer,
-        amount=amount,
-        amount_refunded=refunded,
-        net_amount=net_amount(amount, refunded),
-        currency=currency_code(F.col("currency")),
-        status=F.lower(or_default(_text("status"), PENDING)),
-        payment_method=_text("payment_method"),
+        amount=F.col("amount"),
+        amount_refunded=F.col("amount_refunded"),
+        net_amount=net_amount(F.col("amount"), F.col("amount_refunded")),
+        currency=F.col("currency"),
+        status=F.lower(F.coalesce("status", F.lit(PENDING))),
+        payment_method=F.col("payment_method"),
         is_paid=_flag("paid"),
         is_refunded=_flag("refunded"),
-        transaction_date=utc_iso(F.col("created")),
+        transaction_date=F.col("created"),
         ingestion_timestamp=as_of,
     )
 
 
 def billing_subscriptions(raw: DataFrame, as_of: str, keep: Sequence[str] = ()) -> DataFrame:
-    key, customer = _text("id"), _text("customer")
-    # Blank status text is trimmed to null and stays null; only absent or empty gets the default.
-    status = _text_after_default("status", ACTIVE)
+    # An absent or empty status gets the default; one that is only blanks ends up null.
+    rows = raw.withColumn("status", or_default(F.col("status").cast("string"), ACTIVE))
+    rows = clean(
+        rows, text=["id", "customer", "status"],
+        times=["created", "current_period_start", "current_period_end"])
+    customer = F.col("customer")
     return _emit(
-        raw, "subscriptions", keep,
-        unified_subscription_id=source_key("sub", BILLING, key),
+        rows, "subscriptions", keep,
+        unified_subscription_id=source_key("sub", BILLING, F.col("id")),
         source_system=BILLING,
-        source_subscription_id=key,
+        source_subscription_id=F.col("id"),
         unified_customer_id=reference_key("cust", BILLING, customer),
         source_customer_id=customer,
-        status=F.lower(status),
+        status=F.lower("status"),
         mrr_amount=0.0,
         currency=DEFAULT_CURRENCY,
-        current_period_start=utc_iso(F.col("current_period_start")),
-        current_period_end=utc_iso(F.col("current_period_end")),
+        current_period_start=F.col("current_period_start"),
+        current_period_end=F.col("current_period_end"),
         cancel_at_period_end=_flag("cancel_at_period_end"),
-        created_at=utc_iso(F.col("created")),
+        created_at=F.col("created"),
         ingestion_timestamp=as_of,
     )
 
 
-def _text_after_default(name: str, default: str) -> Column:
-    return trim_blank(or_default(F.col(name).cast("string"), default))
+_ADDRESS = {
+    "billing_street": "BillingStreet", "billing_city": "BillingCity", "billing_state": "BillingState",
+    "billing_postal_code": "BillingPostalCode", "billing_country": "BillingCountry",
+}
+
+
+_CHANGES = ("CreatedDate", "LastModifiedDate")
 
 
 def crm_companies(raw: DataFrame, as_of: str, keep: Sequence[str] = ()) -> DataFrame:
-    key = _text("Id")
+    rows = clean(
+        raw, text=["Id", "Name", "Industry", "NumberOfEmployees", "Website", "Phone", "BillingCountry"],
+        times=_CHANGES, amounts={"AnnualRevenue": "AnnualRevenue"}, defaults={"Name": UNNAMED_ACCOUNT})
     return _emit(
-        raw, "companies", keep,
-        unified_account_id=source_key("org", CRM, key),
+        rows, "companies", keep,
+        unified_account_id=source_key("org", CRM, F.col("Id")),
         source_system=CRM,
-        source_account_id=key,
-        company_name=trim_blank(F.coalesce(F.col("Name").cast("string"), F.lit(UNNAMED_ACCOUNT))),
-        industry=_text("Industry"),
-        annual_revenue=money(F.col("AnnualRevenue")),
-        employee_count=to_long(_text("NumberOfEmployees")),
-        website=_text("Website"),
-        phone=_text("Phone"),
-        billing_country=_text("BillingCountry"),
-        created_at=utc_iso(F.col("CreatedDate")),
-        updated_at=utc_iso(F.col("LastModifiedDate")),
+        source_account_id=F.col("Id"),
+        company_name=F.col("Name"),
+        industry=F.col("Industry"),
+        annual_revenue=F.col("AnnualRevenue"),
+        employee_count=to_long(F.col("NumberOfEmployees")),
+        website=F.col("Website"),
+        phone=F.col("Phone"),
+        billing_country=F.col("BillingCountry"),
+        created_at=F.col("CreatedDate"),
+        updated_at=F.col("LastModifiedDate"),
         ingestion_timestamp=as_of,
     )
 
 
 def crm_account_customers(raw: DataFrame, as_of: str, keep: Sequence[str] = ()) -> DataFrame:
-    key = _text("Id")
-    name = trim_blank(F.coalesce(F.col("Name").cast("string"), F.lit(UNNAMED_ACCOUNT)))
+    rows = clean(
+        raw, text=["Id", "Name", "Phone", *_ADDRESS.values()], times=_CHANGES,
+        defaults={"Name": UNNAMED_ACCOUNT})
     return _emit(
-        raw, "customers", keep,
-        unified_customer_id=source_key("cust", ACCOUNT_SPACE, key),
+        rows, "customers", keep,
+        unified_customer_id=source_key("cust", ACCOUNT_SPACE, F.col("Id")),
         source_system=CRM,
-        source_id=key,
-        salesforce_account_id=key,
-        full_name=name,
-        company_name=name,
-        phone=_text("Phone"),
-        billing_street=_text("BillingStreet"),
-        billing_city=_text("BillingCity"),
-        billing_state=_text("BillingState"),
-        billing_postal_code=_text("BillingPostalCode"),
-        billing_country=_text("BillingCountry"),
+        source_id=F.col("Id"),
+        salesforce_account_id=F.col("Id"),
+        full_name=F.col("Name"),
+        company_name=F.col("Name"),
+        phone=F.col("Phone"),
         preferred_currency=DEFAULT_CURRENCY,
         is_active=True,
-        source_created_at=utc_iso(F.col("CreatedDate")),
-        source_updated_at=utc_iso(F.col("LastModifiedDate")),
+        source_created_at=F.col("CreatedDate"),
+        source_updated_at=F.col("LastModifiedDate"),
         ingestion_timestamp=as_of,
+        **{name: F.col(part) for name, part in _ADDRESS.items()},
     )
 
 
 def crm_contacts(raw: DataFrame, as_of: str, keep: Sequence[str] = ()) -> DataFrame:
-    key, first = _text("Id"), _text("FirstName")
-    last = trim_blank(F.coalesce(F.col("LastName").cast("string"), F.lit(UNKNOWN_NAME)))
+    rows = clean(
+        raw, text=["Id", "AccountId", "FirstName", "LastName", "Phone"], emails={"Email": "Email"},
+        times=_CHANGES, defaults={"LastName": UNKNOWN_NAME})
     return _emit(
-        raw, "customers", keep,
-        unified_customer_id=source_key("cust", CONTACT_SPACE, key),
+        rows, "customers", keep,
+        unified_customer_id=source_key("cust", CONTACT_SPACE, F.col("Id")),
         source_system=CRM,
-        source_id=key,
-        salesforce_account_id=_text("AccountId"),
-        salesforce_contact_id=key,
-        email=email_address(F.col("Email")),
-        full_name=compose_name(first, last),
-        first_name=first,
-        last_name=last,
-        phone=_text("Phone"),
+        source_id=F.col("Id"),
+        salesforce_account_id=F.col("AccountId"),
+        salesforce_contact_id=F.col("Id"),
+        email=F.col("Email"),
+        full_name=compose_name(F.col("FirstName"), F.col("LastName")),
+        first_name=F.col("FirstName"),
+        last_name=F.col("LastName"),
+        phone=F.col("Phone"),
         preferred_currency=DEFAULT_CURRENCY,
         is_active=True,
-        source_created_at=utc_iso(F.col("CreatedDate")),
-        source_updated_at=utc_iso(F.col("LastModifiedDate")),
+        source_created_at=F.col("CreatedDate"),
+        source_updated_at=F.col("LastModifiedDate"),
         ingestion_timestamp=as_of,
     )
 
 
-def crm_opportunities(raw: DataFrame, as_of: str, keep: Sequence[str] = ()) -> DataFrame:
-    key, account = _text("Id"), _text("AccountId")
-    amount, won = money(F.col("Amount")), _flag("IsWon")
+def _crm_transactions(
+    rows: DataFrame, as_of: str, keep: Sequence[str], space: str, amount: str, method: str,
+    status: Column, is_paid: Column,
+) -> DataFrame:
+    account = F.col("AccountId")
     return _emit(
-        raw, "transactions", keep,
-        unified_transaction_id=source_key("tx", OPPORTUNITY_SPACE, key),
+        rows, "transactions", keep,
+        unified_transaction_id=source_key("tx", space, F.col("Id")),
         source_system=CRM,
-        source_transaction_id=key,
+        source_transaction_id=F.col("Id"),
         unified_customer_id=reference_key("cust", ACCOUNT_SPACE, account),
         source_customer_id=account,
-        amount=amount,
+        amount=F.col(amount),
         amount_refunded=0.0,
-        net_amount=amount,
+        net_amount=F.col(amount),
         currency=DEFAULT_CURRENCY,
-        status=won_closed_status(won, _flag("IsClosed")),
-        payment_method=DEAL_METHOD,
-        is_paid=won,
+        status=status,
+        payment_method=method,
+        is_paid=is_paid,
         is_refunded=False,
-        transaction_date=utc_iso(F.col("CreatedDate")),
+        transaction_date=F.col("CreatedDate"),
         ingestion_timestamp=as_of,
     )
 
 
+def crm_opportunities(raw: DataFrame, as_of: str, keep: Sequence[str] = ()) -> DataFrame:
+    rows = clean(raw, text=["Id", "AccountId"], times=["CreatedDate"], amounts={"Amount": "Amount"})
+    won = _flag("IsWon")
+    return _crm_transactions(
+        rows, as_of, keep, OPPORTUNITY_SPACE, "Amount", DEAL_METHOD,
+        won_closed_status(won, _flag("IsClosed")), won)
+
+
 def crm_orders(raw: DataFrame, as_of: str, keep: Sequence[str] = ()) -> DataFrame:
-    key, account = _text("Id"), _text("AccountId")
-    status = trim_blank(F.coalesce(F.col("Status").cast("string"), F.lit(DRAFT)))
-    amount = money(F.col("TotalAmount"))
-    return _emit(
-        raw, "transactions", keep,
-        unified_transaction_id=source_key("tx", ORDER_SPACE, key),
-        source_system=CRM,
-        source_transaction_id=key,
-        unified_customer_id=reference_key("cust", ACCOUNT_SPACE, account),
-        source_customer_id=account,
-        amount=amount,
-        amount_refunded=0.0,
-        net_amount=amount,
-        currency=DEFAULT_CURRENCY,
-        status=order_status(status),
-        payment_method=ORDER_METHOD,
-        is_paid=order_is_done(status),
-        is_refunded=False,
-        transaction_date=utc_iso(F.col("CreatedDate")),
-        ingestion_timestamp=as_of,
-    )
+    rows = clean(
+        raw, text=["Id", "AccountId", "Status"], times=["CreatedDate"],
+        amounts={"TotalAmount": "TotalAmount"}, defaults={"Status": DRAFT})
+    status = F.col("Status")
+    return _crm_transactions(
+        rows, as_of, keep, ORDER_SPACE, "TotalAmount", ORDER_METHOD, order_status(status), order_is_done(status))

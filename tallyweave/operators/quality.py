@@ -8,7 +8,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tallyweave.functions.times import parse_time
+from tallyweave.functions.numbers import round2
+from tallyweave.functions.times import is_iso_time
 from tallyweave.schemas import BILLING, CRM, MERGED, QUALITY_REPORT, TargetTable, target_table
 
 # Pass mark, number of errors shown, and their length.
@@ -33,7 +34,7 @@ class Rule:
         if self.check == "one_of":
             return F.coalesce(value.isin(*self.options), F.lit(False))
         if self.check == "time":
-            return value.isNull() | parse_time(value).isNotNull()
+            return value.isNull() | is_iso_time(value)
         if self.check == "max_length":
             return F.coalesce(F.length(value) <= self.options[0], F.lit(True))
         raise ValueError(f"unknown check '{self.check}'")
@@ -149,19 +150,21 @@ def null_counts(df: DataFrame) -> DataFrame:
 
 def error_sample(df: DataFrame, rules: RuleSet, size: int = ERRORS_SHOWN) -> DataFrame:
     """The first failing rows by key, each with a short message; a top-k, not a full sort."""
-    key = F.col(rules.key)
+    key = F.col("row_key")
     broken = F.array_join("failed_rules", "; ")
     message = F.concat(
         F.lit("Row "), F.coalesce(key, F.lit("None")), F.lit(" failed: "),
         F.substring(broken, 1, ERROR_LENGTH),
     )
-    return (
-        df.select(key.alias("row_key"), failed_rules(df, rules).alias("failed_rules"))
-        .where(F.size("failed_rules") > 0)
-        .select("row_key", message.alias("error"))
-        .orderBy(F.col("row_key").asc_nulls_first(), "error")
+    marked = df.select(F.col(rules.key).alias("row_key"), failed_rules(df, rules).alias("failed_rules"))
+    # Failing rows sort first and sound ones are removed after the limit: a filter before it
+    # would be pushed down and evaluate every rule a second time.
+    first = (
+        marked.select("row_key", message.alias("error"), (F.size("failed_rules") == 0).alias("is_valid"))
+        .orderBy("is_valid", key.asc_nulls_first(), "error")
         .limit(size)
     )
+    return first.where(~F.col("is_valid")).select("row_key", "error")
 
 
 def quality_totals(
@@ -191,7 +194,7 @@ def quality_totals(
         "valid_records",
         (total - valid).alias("invalid_records"),
         F.when(total > 0, F.create_map(*pairs)).otherwise(no_counts).alias("null_counts_by_field"),
-        F.round(score, 2).alias("quality_score_percent"),
+        round2(score).alias("quality_score_percent"),
         (score >= threshold).alias("passed_threshold"),
     )
 
@@ -244,7 +247,7 @@ def quality_alerts(reports: DataFrame) -> DataFrame:
         F.concat(F.lit("Data Quality Threshold Warning - "), F.col("dataset_name")).alias("title"),
         F.format_string(
             "Dataset '%s' score dropped to %.1f%% (%d/%d invalid records).",
-            "dataset_name", "quality_score_percent", "invalid_records", "total_records",
+            "dataset_name", round2(F.col("quality_score_percent"), 10.0), "invalid_records", "total_records",
         ).alias("summary"),
         F.nullif(F.array_join("validation_errors", "\n"), F.lit("")).alias("error_message"),
     )

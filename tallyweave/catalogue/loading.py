@@ -12,12 +12,14 @@ from tallyweave.catalogue.adapters import (
 )
 from tallyweave.catalogue.registry import query
 from tallyweave.catalogue.resolved import FACTS, PROFILES, all_tables
+from tallyweave.operators import mapping
 from tallyweave.operators.merge import existing_keys as existing_keys_of, last_per_key, merge_counts, merge_plan
 from tallyweave.operators.quality import ROW_RULES, row_is_valid
 from tallyweave.operators.warehouse import Warehouse, load_summary as load_summary_of
 from tallyweave.plans.run import run
 from tallyweave.schemas import BILLING, CRM
 from tallyweave.session import fresh_folder
+from tallyweave.sources.curated import write_curated
 from tallyweave.sources.landing import write_landing
 from tallyweave.streaming.sync import sync
 
@@ -104,7 +106,8 @@ def _text_times(rows: DataFrame) -> DataFrame:
 
 
 def _loaded_charges(warehouse: Warehouse, spark, folder) -> Warehouse:
-    charges = all_tables(spark, folder)["transactions"].where(F.col("source_system") == BILLING)
+    mapped = mapping.billing_charges(raw(spark, folder, "billing_charges"), AS_OF)
+    charges = write_curated(mapped, fresh_folder(spark, "curated"), "transactions", json=False)
     day = F.substring("transaction_date", 1, 10)
     warehouse.upsert("transactions", charges.where(day < "2000-01-01"), "first", now=NOW)
     changed = charges.where(day >= "1999-01-01").withColumns({
@@ -158,7 +161,9 @@ _KEYS = f"""
 def _loaded_twice(spark, folder) -> Warehouse:
     """The valid rows of all four tables, loaded two times."""
     warehouse = _warehouse(spark)
-    tables = {n: t.where(row_is_valid(t, ROW_RULES[n])) for n, t in all_tables(spark, folder).items()}
+    root = fresh_folder(spark, "curated")
+    stored = {n: write_curated(t, root, n, json=False) for n, t in all_tables(spark, folder).items()}
+    tables = {n: t.where(row_is_valid(t, ROW_RULES[n])) for n, t in stored.items()}
     for batch_id in ("first", "second"):
         warehouse.load_all(tables, batch_id, now=NOW)
     return warehouse

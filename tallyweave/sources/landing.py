@@ -70,6 +70,11 @@ def write_landing(
     return folder
 
 
+def _by_seq(a: Column, b: Column) -> Column:
+    """A record may hold a map, which has no order, so only the row number is compared."""
+    return F.when(a[SEQ] < b[SEQ], -1).when(a[SEQ] > b[SEQ], 1).otherwise(0)
+
+
 def envelopes(
     records: DataFrame, source: str, entity: str, batch_id: str, extracted_at: Column,
     page_size: int = LARGEST_PAGE,
@@ -87,7 +92,7 @@ def envelopes(
     part = F.shiftright(F.col(SEQ), 33)
     page = F.floor(F.col(SEQ).bitwiseAND(F.lit(2**33 - 1)) / page_size)
     grouped = rows.groupBy(part.alias("part"), page.alias("page")).agg(
-        F.array_sort(F.collect_list(F.struct(SEQ, "record"))).alias("items")
+        F.array_sort(F.collect_list(F.struct(SEQ, "record")), _by_seq).alias("items")
     )
     return grouped.select(
         F.struct(

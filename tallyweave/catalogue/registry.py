@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyweave.session import use_utc
+from tallyweave.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -17,7 +17,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     """Register a query and the SQL over the same tables that gives the same rows."""
     def register(function: Query) -> Query:
         def call(spark: SparkSession, folder: str) -> DataFrame:
-            return function(use_utc(spark), folder)
+            return function(prepare(spark), folder)
 
         QUERIES[name] = call
         if sql is not None:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tallyweave.functions.numbers import amount_of, round2, to_double
 from tallyweave.functions.text import DEFAULT_CURRENCY, WHITE_SPACE, currency_code, email_address, trim_blank
-from tallyweave.functions.times import ISO_FORMAT, epoch_iso, time_of
+from tallyweave.functions.times import ISO_FORMAT, epoch_iso, number_in, time_of
 
 _MOMENTS = (T.TimestampType, T.TimestampNTZType, T.DateType)
 
@@ -46,12 +46,13 @@ def clean(
         value = value.cast("string")
         return F.coalesce(value, F.lit(defaults[name])) if defaults and name in defaults else value
 
-    def number_in(name: str) -> Column:
-        """The number in a column; text is first trimmed in a projection of its own."""
-        if isinstance(kinds[name], T.NumericType):
-            return F.col(name).cast("double")
+    def trimmed(name: str) -> Column:
+        """Trimmed text, from a projection of its own."""
         first[f"_text_{name}"] = F.btrim(plain(name), F.lit(WHITE_SPACE))
-        return to_double(F.col(f"_text_{name}"))
+        return F.col(f"_text_{name}")
+
+    def number(name: str) -> Column:
+        return F.col(name).cast("double") if isinstance(kinds[name], T.NumericType) else to_double(trimmed(name))
 
     for name in text:
         if name in kinds:
@@ -69,12 +70,12 @@ def clean(
         elif isinstance(kinds[name], _MOMENTS):
             third[name] = F.date_format(F.col(name), ISO_FORMAT)
         else:
-            second[f"_number_{name}"] = number_in(name)
+            second[f"_number_{name}"] = number_in(trimmed(name))
             third[name] = F.date_format(time_of(F.col(f"_number_{name}"), F.col(f"_text_{name}")), ISO_FORMAT)
     for wanted, in_cents in ((amounts, False), (cents, True)):
         for name, target in (wanted or {}).items():
             if name in kinds:
-                second[f"_number_{name}"] = amount_of(number_in(name), in_cents)
+                second[f"_number_{name}"] = amount_of(number(name), in_cents)
                 third[target] = round2(F.col(f"_number_{name}"))
 
     for step in (first, second, third):

@@ -46,6 +46,12 @@ def text_time(text: Column) -> Column:
     )
 
 
+def number_in(text: Column) -> Column:
+    """The epoch number in a trimmed text. Date texts are told apart before: trying to read
+    one as a number costs an exception inside the cast."""
+    return F.when(~text.rlike(ISO_START), to_double(text))
+
+
 def time_of(number: Column, text: Column) -> Column:
     """Instant of a trimmed text and the number in it, if it is one."""
     return F.coalesce(epoch_time(number), text_time(text))
@@ -54,7 +60,7 @@ def time_of(number: Column, text: Column) -> Column:
 def parse_time(value: Column) -> Column:
     """Instant of a number, a numeric text or a date text, or null."""
     text = F.btrim(value.cast("string"), F.lit(WHITE_SPACE))
-    return time_of(to_double(text), text)
+    return time_of(number_in(text), text)
 
 
 def is_iso_time(value: Column) -> Column:

@@ -38,10 +38,13 @@ def _emit(raw: DataFrame, dataset: str, keep: Sequence[str], **columns: Any) ->
     """Select the canonical columns in order; plain values are constants, absent ones null."""
     out = []
     for field in CANONICAL[dataset].fields:
-        value = columns.get(field.name)
-        value = value if isinstance(value, Column) else F.lit(value)
-        out.append(value.cast(field.dataType).alias(field.name))
-    return raw.select(*out, *[F.col(k) for k in keep])
+        value, kind = columns.get(field.name), field.dataType.simpleString()
+        if value is None:
+            out.append(F.expr(f"cast(null as {kind}) as {field.name}"))
+        else:
+            value = value if isinstance(value, Column) else F.lit(value)
+            out.append(value.cast(kind).alias(field.name))
+    return raw.select(*out, *keep)
 
 
 def won_closed_status(won: Column, closed: Column) -> Column:

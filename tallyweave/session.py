@@ -9,12 +9,19 @@ from contextlib import contextmanager
 from pyspark.sql import SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+SETTINGS = {"spark.sql.session.timeZone": "UTC", "spark.sql.codegen.hugeMethodLimit": "8000"}
 
 
-def use_utc(spark: SparkSession) -> SparkSession:
-    """Every text timestamp in the canonical tables is UTC, so the session must be too."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+def prepare(spark: SparkSession) -> SparkSession:
+    """Session settings the library relies on.
+
+    Every text timestamp in the canonical tables is UTC, so the session must be too. The JVM
+    does not compile methods of more than 8000 bytes; with this limit Spark splits the code of
+    a wide projection instead of leaving one long method to be interpreted.
+    """
+    for key, value in SETTINGS.items():
+        if spark.conf.get(key) != value:
+            spark.conf.set(key, value)
     return spark
 
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyweave.functions.numbers import to_double
-from tallyweave.functions.text import trim_blank
-from tallyweave.functions.times import ISO_FORMAT, epoch_seconds_time, text_time
+from tallyweave.functions.text import WHITE_SPACE
+from tallyweave.functions.times import ISO_FORMAT, epoch_seconds_time, number_in, text_time
 from tallyweave.schemas import ADDRESS_PARTS, BILLING, RawField, raw_fields, raw_schema
 
 _NO_TAGS = "map<string,string>"
@@ -22,17 +22,14 @@ def _raw_time(text: Column, source: str) -> Column:
     """Billing numbers are always seconds; CRM dates are always text."""
     if source != BILLING:
         return text_time(text)
-    number = to_double(text)
-    return F.when(number.isNotNull(), epoch_seconds_time(number)).otherwise(text_time(text))
+    return F.coalesce(epoch_seconds_time(number_in(text)), text_time(text))
 
 
 def _coerced(field: RawField, source: str) -> Column:
     value = F.col(f"_record.{field.name}")
-    if field.kind in ("address", "tags"):
-        return value
-    if field.kind == "text":
+    if field.kind in ("text", "address", "tags"):
         return value
-    text = trim_blank(value)
+    text = F.btrim(value, F.lit(WHITE_SPACE))
     if field.kind == "whole":
         return _whole(text)
     if field.kind == "number":
@@ -48,16 +45,15 @@ def _with_default(field: RawField, value: Column) -> Column:
     return value if field.default is None else F.coalesce(value, F.lit(field.default))
 
 
-def _fault(field: RawField, source: str) -> Column:
+def _fault(field: RawField) -> Column:
     """What is wrong with one field, or null."""
-    given = F.col(f"_record.{field.name}")
+    absent = F.col(f"_record.{field.name}").isNull()
     named = F.array_contains("_names", field.name)
-    absent = given.isNull()
     checks = F.when(F.lit(field.required) & absent & ~named, f"{field.name}: missing")
     if not field.optional:
         checks = checks.when(absent & named, f"{field.name}: null")
     if field.kind not in ("text", "address", "tags"):
-        checks = checks.when(~absent & _coerced(field, source).isNull(), f"{field.name}: not a {field.kind}")
+        checks = checks.when(~absent & F.col(f"_value_{field.name}").isNull(), f"{field.name}: not a {field.kind}")
     return checks
 
 
@@ -70,18 +66,21 @@ def check_raw(df: DataFrame, json_col: str, source: str, entity: str) -> DataFra
     """
     source = source.lower()
     fields = raw_fields(source, entity)
-    parsed = df.withColumn("_record", F.from_json(json_col, raw_schema(source, entity))).withColumn(
-        "_names", F.coalesce(F.json_object_keys(json_col), F.array().cast("array<string>"))
-    )
-    faults = F.array_compact(F.array(*[_fault(f, source) for f in fields]))
-    checked = parsed.withColumn("schema_errors", faults).withColumn(
-        "is_schema_valid", F.size("schema_errors") == 0
-    )
-    valid = F.struct(*[_with_default(f, _coerced(f, source)).cast(_kind(f)).alias(f.name) for f in fields])
-    kept = F.struct(*[_as_came(f).alias(f.name) for f in fields])
-    return checked.withColumn(
-        "record", F.when(F.col("is_schema_valid"), valid).otherwise(kept)
-    ).drop("_record", "_names")
+    parsed = df.withColumns({
+        "_record": F.from_json(json_col, raw_schema(source, entity)),
+        "_names": F.coalesce(F.json_object_keys(json_col), F.array().cast("array<string>")),
+    })
+    # Coerced values get columns of their own: the checks and the record both need them.
+    typed = parsed.withColumns({f"_value_{f.name}": _coerced(f, source) for f in fields})
+    faults = F.array_compact(F.array(*[_fault(f) for f in fields]))
+    checked = typed.withColumn("schema_errors", faults)
+    sound = F.size("schema_errors") == 0
+    record = F.struct(*[
+        F.when(sound, _with_default(f, F.col(f"_value_{f.name}")).cast(_kind(f)))
+        .otherwise(F.col(f"_record.{f.name}").cast(_kind(f))).alias(f.name)
+        for f in fields
+    ])
+    return checked.select(*df.columns, record.alias("record"), sound.alias("is_schema_valid"), "schema_errors")
 
 
 def _kind(field: RawField) -> str:
@@ -89,8 +88,3 @@ def _kind(field: RawField) -> str:
     if field.kind == "address":
         return "struct<" + ",".join(f"{p}:string" for p in ADDRESS_PARTS) + ">"
     return _NO_TAGS if field.kind == "tags" else "string"
-
-
-def _as_came(field: RawField) -> Column:
-    return F.col(f"_record.{field.name}").cast(_kind(field))
-

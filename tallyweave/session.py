@@ -6,9 +6,10 @@ import tempfile
 import uuid
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+STAGING_DATABASE = "tallyweave_staging"
 SETTINGS = {"spark.sql.session.timeZone": "UTC", "spark.sql.codegen.hugeMethodLimit": "8000"}
 
 
@@ -42,6 +43,25 @@ def fresh_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+@contextmanager
+def stored(df: DataFrame, label: str):
+    """The frame as a table in the shared folder for the length of a block.
+
+    It is computed once and its lineage ends here: what is lost with an executor is read
+    again, not computed again.
+    """
+    spark = df.sparkSession
+    if not spark.catalog.databaseExists(STAGING_DATABASE):
+        folder = fresh_folder(spark, "staging")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {STAGING_DATABASE} LOCATION '{folder}'")
+    name = f"{STAGING_DATABASE}.{label}_{uuid.uuid4().hex[:12]}"
+    try:
+        df.write.format("parquet").saveAsTable(name)
+        yield spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 @contextmanager
 def setting(spark: SparkSession, key: str, value: str):
     """Set one session option for the length of a block."""

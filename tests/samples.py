@@ -61,7 +61,7 @@ _CRM_ROWS = {
 def entity(spark: SparkSession, source: str, name: str) -> DataFrame:
     count, columns = (_BILLING_ROWS if source == BILLING else _CRM_ROWS)[name]
     columns = columns.replace("{base}", str(BASE)).replace("{day}", _DAY)
-    rows = spark.range(1, count + 1).withColumnRenamed("id", "i")
+    rows = spark.range(1, count + 1, numPartitions=2).withColumnRenamed("id", "i")
     return rows.selectExpr(*_split(columns))
 
 

@@ -28,6 +28,11 @@ _LINE_COLUMNS = T.StructType([
     T.StructField(SEQ, T.LongType()),
 ])
 _DATE_COLUMNS = T.StructType([T.StructField(c, T.IntegerType()) for c in ("year", "month", "day")])
+_LISTING = T.StructType([
+    T.StructField("path", T.StringType()),
+    T.StructField("length", T.LongType()),
+    T.StructField("modified_at", T.TimestampType()),
+])
 _METADATA = T.StructType([
     T.StructField("source", T.StringType()),
     T.StructField("entity", T.StringType()),
@@ -198,12 +203,13 @@ def stream_landing(
 
 def list_batches(spark: SparkSession, root: str, source: str, entity: str) -> DataFrame:
     """Landed files of an entity. Only the file listing is used; no content is read."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.json*")
-        .load(entity_folder(root, source, entity))
-    )
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.json*")
+    try:
+        files = reader.load(entity_folder(root, source, entity))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return _empty(spark, _LISTING)
     return files.select("path", "length", F.col("modificationTime").alias("modified_at"))
 
 

@@ -73,6 +73,7 @@ def test_days_prune_partitions(spark, tmp_path):
 def test_nothing_landed(spark, tmp_path):
     found = read_landing(spark, str(tmp_path), "salesforce", "orders")
     assert found.isEmpty() and "TotalAmount" in found.columns
+    assert list_batches(spark, str(tmp_path), "salesforce", "orders").isEmpty()
     with pytest.raises(ValueError, match="Unsupported entity"):
         read_landing(spark, str(tmp_path), "stripe", "refunds")
 

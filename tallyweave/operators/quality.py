@@ -205,13 +205,12 @@ def quality_report(
     """The full one-row report: the totals, and the first errors from a bounded top-k."""
     totals = quality_totals(df, rules, dataset, threshold)
     errors = error_sample(df, rules).agg(
-        F.lit(dataset).alias("dataset_name"),
         F.transform(
             F.array_sort(F.collect_list(F.struct("row_key", "error"))), lambda e: e["error"]
         ).alias("validation_errors"),
     )
-    # Both sides are global aggregates: one row each, whatever the size of the table.
-    return totals.join(F.broadcast(errors), "dataset_name", "left").select(*QUALITY_REPORT.fieldNames())
+    # A scalar subquery: at most ten short texts.
+    return totals.withColumn("validation_errors", errors.scalar()).select(*QUALITY_REPORT.fieldNames())
 
 
 def quality_reports(

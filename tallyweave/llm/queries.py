@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyweave.llm import byte_bpe
-from tallyweave.llm.common import table
+from tallyweave.llm import byte_bpe, lm_score, token_counts
+from tallyweave.llm.common import remainder, table
+from tallyweave.llm.pieces import read_vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -25,3 +27,14 @@ def query(function):
 @query
 def op6_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return byte_bpe.digests(table(spark, folder, "documents"), byte_bpe.read_ranks(RANKS), public_tokenizers.PATTERN)
+
+
+@query
+def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, folder, "documents"), read_vocabulary(PIECES), ["doc_id"])
+
+
+@query
+def op7_lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").withColumn("held_out", remainder(F.col("doc_id"), 7) == 2)
+    return lm_score.score(docs, ~F.col("held_out"), read_vocabulary(PIECES), ["doc_id", "held_out"])

@@ -22,7 +22,7 @@ ROUNDS = 2
 #: Weight of the vocabulary's own scores, as a number of words.
 PRIOR = 1000.0
 #: Shares tried for the arc that spans a whole known word.
-SHARES = (0.0, 0.05, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 0.95)
+SHARES = (0.0, 0.05, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 0.95, 0.98)
 
 
 def score(docs: DataFrame, training: Column, vocabulary: Vocabulary, keep: list[str], text: str = "text") -> DataFrame:
@@ -43,7 +43,7 @@ def score(docs: DataFrame, training: Column, vocabulary: Vocabulary, keep: list[
     """
     spark = docs.sparkSession
     marked = docs.select(*keep, F.col(text).alias("_scored"), F.coalesce(training, F.lit(False)).alias("_training"))
-    blocks = coded(marked, "_scored", keep, lambda: lambda x: x.encode().translate(lower_ascii()).split(), "_training")
+    blocks = coded(marked, "_scored", keep, lambda: lambda x: x.encode().translate(lower_ascii()).split(), "_training", store=True)
     words = cut(words_of(blocks).groupBy("owner").applyInPandas(
         _merged, "owner int, words binary, counts binary, total long, seen long",
     ))

@@ -21,6 +21,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,12 +37,17 @@ Split = Callable[[], Callable[[str], list]]
 Answer = Callable[[], Callable[[list, list], list]]
 
 
-def coded(docs: DataFrame, text: str, keep: list[str], split: Split, counted: str | None = None) -> DataFrame:
-    """Blocks of documents and their distinct words, checkpointed.
+def coded(docs: DataFrame, text: str, keep: list[str], split: Split, counted: str | None = None, store: bool = False) -> DataFrame:
+    """Blocks of documents and their distinct words.
 
     ``split`` makes the function that cuts a text (null counts as empty) into words, all str or
     all bytes. ``counted`` names a boolean column: words then carry how often they stand in
     documents where it is true. Rows with ``owner`` -1 are blocks, others words of a block.
+
+    Unless ``store``, blocks are made again for each use, which takes the time of cutting texts
+    and spares a copy of the corpus. A block's number comes from what it holds, so that blocks
+    made from rows in another order (``docs`` should be a table or a checkpoint) find no answers
+    and raise an error in ``assembled``.
     """
     owners = partitions(docs.sparkSession)
     kept = T.StructType([docs.schema[name] for name in keep])
@@ -58,13 +64,15 @@ def coded(docs: DataFrame, text: str, keep: list[str], split: Split, counted: st
     arrow = to_arrow_schema(schema)
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut_up, task, number = split(), TaskContext.get().partitionId(), 0
+        cut_up = split()
+        start = TaskContext.get().partitionId().to_bytes(8, "little")
+        seen, number = xxhash.xxh3_64(start), 0
         rows, sizes, codes, flags, chars = [], [], [], [], 0
         index: defaultdict = defaultdict()
         index.default_factory = index.__len__
 
         def closed() -> pa.RecordBatch:
-            block = (task << 32) + number
+            block = seen.intdigest() - (1 << 63)
             words = [w.encode() if isinstance(w, str) else w for w in index]
             sequence = np.concatenate(codes) if codes else np.zeros(0, np.int64)
             shares: list[list] = [[] for _ in range(owners)]
@@ -98,6 +106,7 @@ def coded(docs: DataFrame, text: str, keep: list[str], split: Split, counted: st
             for at in range(batch.num_rows):
                 content = texts[at].as_py()
                 words = cut_up(content)
+                seen.update(content.encode() + b"\0")
                 sizes.append(len(words))
                 codes.append(np.fromiter(map(index.__getitem__, words), np.int64, len(words)))
                 flags.append(marks[at].as_py())
@@ -108,12 +117,14 @@ def coded(docs: DataFrame, text: str, keep: list[str], split: Split, counted: st
                     taken, number, chars = at + 1, number + 1, 0
                     rows, sizes, codes, flags = [], [], [], []
                     index.clear()
+                    seen = xxhash.xxh3_64(start + number.to_bytes(8, "little"))
             if taken < batch.num_rows:
                 rows.append(held.slice(taken))
         if sizes:
             yield closed()
 
-    return cut(chosen.mapInArrow(blocks, schema))
+    made = chosen.mapInArrow(blocks, schema)
+    return cut(made) if store else made
 
 
 def words_of(blocks: DataFrame) -> DataFrame:
@@ -159,6 +170,8 @@ def assembled(blocks: DataFrame, answers: DataFrame, finish: Callable, columns:
         if not left.num_rows:
             return arrow.empty_table()
         own = left.column("rows").combine_chunks().flatten()
+        if not right.num_rows and unpack_codes(left.column("sizes")[0].as_py()).any():
+            raise ValueError("a block was made anew from other rows than before: store the documents first")
         parts = sorted(zip(right.column("owner").to_pylist(), right.column("answers").to_pylist()))
         flat = [unpack_flat(x[1]) for x in parts]
         lengths = np.concatenate([x[0] for x in flat]) if flat else np.zeros(0, np.uint32)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweave.llm import byte_bpe, lm_score, token_counts
+from tallyweave.llm import byte_bpe, lm_score, quality_trees, token_counts, toxicity
 from tallyweave.llm.common import remainder, table
 from tallyweave.llm.pieces import read_vocabulary
 
@@ -38,3 +38,19 @@ def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 def op7_lm_score(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").withColumn("held_out", remainder(F.col("doc_id"), 7) == 2)
     return lm_score.score(docs, ~F.col("held_out"), read_vocabulary(PIECES), ["doc_id", "held_out"])
+
+
+@query
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs, learnt = table(spark, folder, "documents"), remainder(F.col("doc_id"), 5) != 0
+    model = toxicity.train(docs, table(spark, folder, "labels"), "toxic", learnt)
+    scored = toxicity.score(docs.select("doc_id", "text", (~learnt).alias("held_out")), model)
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs, learnt = table(spark, folder, "documents"), remainder(F.col("doc_id"), 5) != 0
+    trees = quality_trees.train(docs, table(spark, folder, "labels"), "quality", learnt)
+    scored = quality_trees.score(docs.select("doc_id", "text", (~learnt).alias("held_out")), trees)
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))

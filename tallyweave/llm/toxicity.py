@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -23,17 +24,20 @@ CALIBRATION = 8_000
 PASSAGES = 120_000
 PASSAGE_WORDS = 4
 #: Bytes of the dictionary of ordinary text, and words in that of toxic text.
-ORDINARY_BYTES = 32_768
+ORDINARY_BYTES = 112_640
 TOXIC_WORDS = 300
 #: Lengths of character sequences looked at, and how many times more often a telling one must be toxic.
 SEQUENCES = range(4, 11)
 PURITY = 20
 #: Chance at which an innocent sequence may pass for a telling one.
 CHANCE = 1e-8
+#: Stands before each window and each entry of the toxic dictionary, so that whole words match as one.
+FRAME = b"\n\n\n"
 #: Both dictionaries end with this, and so does each window: zstandard does not look for matches in its last bytes.
 TAIL = b" \n0123456789abcdef0123456789abcdef"
-#: Bytes saved from which a window counts, one feature each.
-SAVED = (2, 3, 4, 5, 6, 7, 8)
+#: Thresholds, calibrated together: bytes saved, and bytes above those of a perfect match.
+MOST_SAVED, MOST_ABOVE = 6, 4
+CELLS = 1 + MOST_SAVED * (MOST_ABOVE + 1)
 #: Windows whose distance a task remembers.
 REMEMBERED = 400_000
 
@@ -47,17 +51,24 @@ class Model(NamedTuple):
     prior: float
 
 
+#: A word is a run of these in lower-case UTF-8: digits, letters, all beyond ASCII.
+WORDS = re.compile(rb"[0-9a-z\x80-\xff]+")
+
+
 def words_of(text: str | None) -> list[bytes]:
-    return (text or "").lower().encode().split()
+    return WORDS.findall((text or "").lower().encode())
 
 
 class Distances(dict):
-    """Window to the bytes that the toxic dictionary saves over the ordinary one."""
+    """Window to the cell of its compressed lengths: what the toxic dictionary saves over the
+    ordinary one, and how far it is from a perfect match. Cell 0 is for windows that save nothing."""
 
     def __init__(self, model: Model):
         super().__init__()
-        common = model.ordinary
-        self.compress = [self.compressor(common + TAIL), self.compressor(common + model.toxic + TAIL)]
+        self.ordinary = self.compressor(model.ordinary + TAIL)
+        self.toxic = self.compressor(model.ordinary + model.toxic + TAIL)
+        last = model.toxic.split()[-1:] or [b"-"]
+        self.perfect = len(self.toxic(FRAME + last[0] + TAIL))
 
     @staticmethod
     def compressor(content: bytes):
@@ -69,22 +80,24 @@ class Distances(dict):
         ).compress
 
     def __missing__(self, word: bytes) -> int:
-        window = b" " + word + TAIL
-        saved = len(self.compress[0](window)) - len(self.compress[1](window))
+        window = FRAME + word + TAIL
+        length = len(self.toxic(window))
+        saved = len(self.ordinary(window)) - length
+        above = min(max(length - self.perfect, 0), MOST_ABOVE)
+        cell = 0 if saved <= 0 else above * MOST_SAVED + min(saved, MOST_SAVED)
         if len(self) >= REMEMBERED:
             self.clear()
-        self[word] = saved
-        return saved
+        self[word] = cell
+        return cell
 
 
-def features(text: str | None, distances: Distances) -> list[float]:
-    """Of all windows of a whole text: the largest distance, how many reach each threshold, how many there are."""
+def features(text: str | None, distances: Distances) -> np.ndarray:
+    """Of all windows of a whole text: how many fall into each cell, and how many there are."""
     words = words_of(text)
-    saved = np.fromiter(map(distances.__getitem__, words), np.int64, len(words))
-    return [
-        1.0, float(max(0, saved.max())) if len(words) else 0.0,
-        *(math.log1p(int((saved >= least).sum())) for least in SAVED), math.log1p(len(words)),
-    ]
+    cells = np.fromiter(map(distances.__getitem__, words), np.int64, len(words))
+    counts = np.bincount(cells, minlength=CELLS)
+    counts[0] = len(words)
+    return np.append(np.log1p(counts), 1.0)
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str, training: Column, text: str = "text", key: str = "doc_id") -> Model:
@@ -148,7 +161,7 @@ def telling(toxic: list[bytes], ordinary: list[bytes]) -> bytes:
         if n >= PURITY * outside[w] * scale and any(n >= 3 or s[:1] == b" " for s in sequences(w) & marks)
     })
     ranked = sorted(words, key=lambda w: (-words[w], w))[:TOXIC_WORDS]
-    return b"".join(b" " + w + b" " for w in reversed(ranked))
+    return b"".join(FRAME + w + b" " for w in reversed(ranked))
 
 
 def _passages(docs: DataFrame, sample: DataFrame, text: str, key: str) -> list[bytes]:
@@ -171,7 +184,7 @@ def _features(docs: DataFrame, sample: DataFrame, model: Model, text: str, key:
     def rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         distances = Distances(model)
         for frame in frames:
-            yield pd.DataFrame({"label": frame["label"], "features": [features(x, distances) for x in frame["_text"]]})
+            yield pd.DataFrame({"label": frame["label"], "features": [features(x, distances).tolist() for x in frame["_text"]]})
 
     texts = docs.select(key, F.col(text).alias("_text")).join(F.broadcast(sample), key).select("_text", "label")
     return texts.mapInPandas(rows, "label int, features array<double>")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweave.llm import byte_bpe, lm_score, quality_trees, token_counts, toxicity
+from tallyweave.llm import byte_bpe, decontaminate, line_dedup, lm_score, quality_rules, quality_trees, sql, token_counts, toxicity
 from tallyweave.llm.common import remainder, table
 from tallyweave.llm.pieces import read_vocabulary
 
@@ -54,3 +54,23 @@ def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
     trees = quality_trees.train(docs, table(spark, folder, "labels"), "quality", learnt)
     scored = quality_trees.score(docs.select("doc_id", "text", (~learnt).alias("held_out")), trees)
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query
+def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules.judged(table(spark, folder, "documents"))
+
+
+@query
+def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "source", "text")
+    return line_dedup.without_boilerplate(docs, removed="n_removed").select("doc_id", "n_removed", "text")
+
+
+@query
+def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.contained(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select(F.col("_key").alias("doc_id"), F.col("_item").alias("item_id"), "n_shared", "n_item")
+
+
+SQL |= {"op10_quality_rules": sql.QUALITY_RULES, "op5_line_dedup": sql.LINE_DEDUP, "op3_decontamination": sql.DECONTAMINATION}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweave.llm import byte_bpe, decontaminate, line_dedup, lm_score, quality_rules, quality_trees, sql, token_counts, toxicity
+from tallyweave.llm import byte_bpe, decontaminate, jaccard_join, line_dedup, lm_score, quality_rules, quality_trees, sql, token_counts, toxicity
 from tallyweave.llm.common import remainder, table
 from tallyweave.llm.pieces import read_vocabulary
 
@@ -74,3 +74,11 @@ def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 
 SQL |= {"op10_quality_rules": sql.QUALITY_RULES, "op5_line_dedup": sql.LINE_DEDUP, "op3_decontamination": sql.DECONTAMINATION}
+
+
+@query
+def op8_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    found = jaccard_join.linked(table(spark, folder, "documents"))
+    return found.select(
+        F.col("_key").alias("doc_id"), F.col("first._key").alias("class_id"), "n_links", F.col("leader._key").alias("group_id"),
+    )

@@ -21,7 +21,7 @@ WITH texts AS (
     FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM texts)
     WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r
 ), counts AS (
-    SELECT doc_id, source, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, x -> length(x))), 0)::BIGINT AS word_chars,
+    SELECT doc_id, source, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
         length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, coalesce(n_lines, 0)::BIGINT AS n_lines,
         coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(repeated.n, 0)::BIGINT AS n_repeat_words
     FROM words LEFT JOIN lines USING (r) LEFT JOIN repeated USING (r)

@@ -5,13 +5,13 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import regex
 import tiktoken
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -33,6 +33,12 @@ def _encoding(name: int, shared) -> tiktoken.Encoding:
     return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
+def encoder(spark: SparkSession, ranks: dict[bytes, int], pattern: str) -> Callable[[], Callable[[str], list[int]]]:
+    """What a task calls to get a function from a text to its ids."""
+    shared = spark.sparkContext.broadcast((pattern, ranks))     # a vocabulary, of fixed size
+    return lambda: _encoding(id(shared), shared).encode_ordinary
+
+
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, keep: list[str], text: str = "text", ids: str = "ids") -> DataFrame:
     """Columns ``keep`` and the token ids of every whole text, as ``array<int>``.
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweave.llm import byte_bpe, decontaminate, jaccard_join, line_dedup, lm_score, quality_rules, quality_trees, sql, token_counts, toxicity
+from tallyweave.llm import byte_bpe, decontaminate, jaccard_join, line_dedup, lm_score, quality_rules, quality_trees, sql, token_counts, toxicity, training_order
 from tallyweave.llm.common import remainder, table
 from tallyweave.llm.pieces import read_vocabulary
 
@@ -82,3 +82,15 @@ def op8_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         F.col("_key").alias("doc_id"), F.col("first._key").alias("class_id"), "n_links", F.col("leader._key").alias("group_id"),
     )
+
+
+#: Key of the training order.
+ORDER_KEY = 20260101
+
+
+@query
+def op9_training_order(spark: SparkSession, folder: str) -> DataFrame:
+    ranks = byte_bpe.read_ranks(RANKS)
+    encoder = byte_bpe.encoder(spark, ranks, public_tokenizers.PATTERN)
+    found = training_order.sequences(table(spark, folder, "documents"), encoder, separator=max(ranks.values()) + 1)
+    return training_order.shards(found, ORDER_KEY).withColumn("sha256", F.sha2("payload", 256))

@@ -8,6 +8,7 @@ from tallyweave.catalogue.adapters import (
     o_currency, o_email, o_email_key, o_key, o_money, o_ref, o_time, o_trim, raw, rows_of, spark_sql, table,
 )
 from tallyweave.catalogue.registry import query
+from tallyweave.functions.times import utc_iso
 from tallyweave.functions import (
     compose_name, email_address, email_key, net_amount, or_default, source_key,
     to_long, trim_blank,
@@ -206,3 +207,19 @@ def audit_columns(spark, folder):
     return spark_sql(spark, folder, "select event_id from {events}").select(
         "event_id", F.lit("stripe").alias("source_system"), F.lit("2026-01-01T00:00:00Z").alias("ingestion_timestamp"),
         F.lit(None).cast("string").alias("customer_email"), F.lit(True).alias("is_active"))
+
+
+# Layouts of a date text, by the remainder of the order key.
+_LAYOUTS = (
+    "yyyyMMdd", "MM/dd/yyyy HH:mm", "M/d/yyyy h:mm a", "MMM d yyyy h:mm a", "yyyy-M-d", "d-MMM-yyyy", "M.d.yyyy",
+    "EEE MMM d HH:mm:ss yyyy",
+)
+
+
+@query("standardize_layouts", "select o_orderkey, strftime(o_orderdate, '%Y-%m-%dT00:00:00Z') as at from orders")
+def standardize_layouts(spark, folder):
+    """Order dates written in further layouts and read again."""
+    orders = table(spark, folder, "orders")
+    day = F.date_trunc("day", F.col("o_orderdate"))
+    texts = [F.when(F.col("o_orderkey") % len(_LAYOUTS) == k, F.date_format(day, layout)) for k, layout in enumerate(_LAYOUTS)]
+    return orders.select("o_orderkey", F.coalesce(*texts).alias("text")).select("o_orderkey", utc_iso(F.col("text")).alias("at"))

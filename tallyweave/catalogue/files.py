@@ -11,8 +11,8 @@ from tallyweave.schemas import struct_of
 from tallyweave.session import fresh_folder
 from tallyweave.sources.curated import read_curated, write_curated
 from tallyweave.sources.landing import (
-    BATCH, ENVELOPE, envelopes, landed_batches, list_batches, read_landing, unwrap_list as unwrap_list_of,
-    write_envelopes, write_landing,
+    BATCH, ENVELOPE, LINES, broken_lists as broken_lists_of, entity_folder, envelopes, landed_batches, list_batches,
+    read_landing, read_rejects, unwrap_list as unwrap_list_of, write_envelopes, write_landing,
 )
 from tallyweave.sources.raw_check import check_raw
 
@@ -161,3 +161,63 @@ def curated_roundtrip(spark, folder):
     write_curated(mapping.crm_companies(raw(spark, folder, "crm_accounts"), AS_OF), root, "companies")
     forms = [read_curated(spark, root, "companies", f).select(F.lit(f).alias("form"), "*") for f in ("parquet", "json")]
     return forms[0].unionByName(forms[1])
+
+
+_BROKEN = "o_orderkey % 7 = 0"
+
+
+def _land_text(spark, texts, layout: str) -> str:
+    """Texts as they are, as lines of one day's files or as a file each."""
+    root = fresh_folder(spark, "landing")
+    folder = f"{entity_folder(root, 'stripe', 'charges')}/year=2024/month=05/day=12"
+    writer = texts.write.option("maxRecordsPerFile", 1) if layout == ENVELOPE else texts.write
+    writer.text(folder)
+    return root
+
+
+def _good_and_broken(spark, root: str, layout: str):
+    good = read_landing(spark, root, "stripe", "charges", layout=layout, on_broken="reject")
+    rejects = read_rejects(spark, root, "stripe", "charges", layout=layout)
+    return good.select(F.lit("good").alias("kind"), F.col("id").alias("value")).unionByName(
+        rejects.select(F.lit("broken").alias("kind"), F.rtrim(F.regexp_replace("text", "\n", "")).alias("value")))
+
+
+@query("broken_lines", f"""
+    select case when {_BROKEN} then 'broken' else 'good' end as kind,
+      case when {_BROKEN} then '{{"id":"ch_' || cast(o_orderkey as varchar) || '","_ba'
+        else 'ch_' || cast(o_orderkey as varchar) end as value from orders""")
+def broken_lines(spark, folder):
+    """Lines of which every seventh is cut off: each line is a record or a reject."""
+    texts = spark_sql(spark, folder, f"""
+        select concat('{{"id":"ch_', o_orderkey, case when {_BROKEN} then '","_ba' else concat(
+          '","_batch_id":"b1","_extracted_at":"2024-05-12T00:00:00","_seq":', o_orderkey, '}}') end) as value from {{orders}}""")
+    return _good_and_broken(spark, _land_text(spark, texts, LINES), LINES)
+
+
+_PAGES = "select cast(floor(o_orderkey / 1000) as bigint) as page, count(*) as n, max(o_orderkey) as last from {orders} group by 1"
+
+
+@query("broken_envelopes", f"""
+    select case when page % 3 = 0 then 'broken' else 'good' end as kind,
+      case when page % 3 = 0 then '{{"metadata":{{"batch_id":"p' || cast(page as varchar) || '"}},"reco'
+        else 'ch_' || cast(last as varchar) end as value from ({_PAGES.replace("{orders}", "orders")})""")
+def broken_envelopes(spark, folder):
+    """A document per thousand orders, every third of them cut off."""
+    texts = spark_sql(spark, folder, f"""
+        select concat('{{"metadata":{{"batch_id":"p', page, '"}},', case when page % 3 = 0 then '"reco' else concat(
+          '"records":[{{"id":"ch_', last, '"}}]}}') end) as value from ({_PAGES})""")
+    return _good_and_broken(spark, _land_text(spark, texts, ENVELOPE), ENVELOPE)
+
+
+@query("broken_lists", f"""
+    select case when page % 3 = 0 then 'broken' else 'good' end as kind,
+      case when page % 3 = 0 then '{{"has_more":true,"da' || cast(page as varchar)
+        else 'ch_' || cast(last as varchar) end as value from ({_PAGES.replace("{orders}", "orders")})""")
+def broken_lists(spark, folder):
+    """List responses of which every third is cut off."""
+    bodies = spark_sql(spark, folder, f"""
+        select concat('{{"has_more":true,"da', case when page % 3 = 0 then cast(page as string) else concat(
+          'ta":[{{"id":"ch_', last, '"}}]}}') end) as body from ({_PAGES})""")
+    good = unwrap_list_of(bodies, "body", "stripe", "charges", on_broken="reject")
+    return good.select(F.lit("good").alias("kind"), F.col("record.id").alias("value")).unionByName(
+        broken_lists_of(bodies, "body", "stripe").select(F.lit("broken").alias("kind"), F.col("body").alias("value")))

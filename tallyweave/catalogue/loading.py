@@ -224,3 +224,38 @@ def full_run(spark, folder):
     warehouse = _warehouse(spark)
     run(spark, _land_customers(spark, folder), warehouse, batch_id="run", now=NOW)
     return _text_times(warehouse.read("customers").drop("updated_at"))
+
+
+_VERSIONS = f"""
+    select unified_transaction_id as id, status, amount from ({MAPPED['billing_charges']})
+    union all select unified_account_id, 'company', null from ({MAPPED['crm_companies']})"""
+
+
+@query("run_newest", _VERSIONS)
+def run_newest(spark, folder):
+    """Charges and accounts landed twice with other values before: a run loads the last versions."""
+    warehouse, root = _warehouse(spark), fresh_folder(spark, "landing")
+    charges, accounts = raw(spark, folder, "billing_charges"), raw(spark, folder, "crm_accounts")
+    for batch, day, amount, name in (("z", "2024-05-12", 5, "old"), ("a", "2024-05-13", 0, None)):
+        landed = charges.withColumn("amount", F.col("amount") + amount)
+        landed = landed.withColumn("status", F.lit("pending")) if name else landed
+        write_landing(landed, root, BILLING, "charges", batch, F.lit(day))
+        write_landing(accounts.withColumn("Name", F.lit(name)) if name else accounts, root, CRM, "accounts", batch, F.lit(day))
+    run(spark, root, warehouse, gate=False, batch_id="run", now=NOW)
+    kept = warehouse.read("companies").where(~F.col("company_name").eqNullSafe("old"))
+    return warehouse.read("transactions").select(F.col("unified_transaction_id").alias("id"), "status", "amount").unionByName(
+        kept.select(F.col("unified_account_id").alias("id"), F.lit("company").alias("status"), F.lit(None).cast("double").alias("amount")))
+
+
+@query("reused_batch_id", f"""
+    with c as (select transaction_date as d from ({MAPPED['billing_charges']}))
+    select count(*) filter (where d < '2000-01-01') as rows_inserted, 0 as rows_updated from c
+    union all select count(*) filter (where d >= '2000-01-01'), 0 from c""")
+def reused_batch_id(spark, folder):
+    """Two loads of different rows under one batch id: each counts its own."""
+    warehouse = _warehouse(spark)
+    mapped = mapping.billing_charges(raw(spark, folder, "billing_charges"), AS_OF)
+    day = F.substring("transaction_date", 1, 10)
+    for part in (day < "2000-01-01", day >= "2000-01-01"):
+        warehouse.upsert("transactions", mapped.where(part), "same", now=NOW)
+    return warehouse.audit().select("rows_inserted", "rows_updated")

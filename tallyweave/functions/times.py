@@ -15,10 +15,18 @@ LAST_SECOND = 253402300799.0
 # A text has to start with a full date; a bare time would be read as a time of today.
 ISO_START = r"^\d{4}-\d{2}-\d{2}"
 # Further layouts that are understood; sections in brackets may be absent.
-SLASHED = "[yyyy/M/d][M/d/yyyy][ H:mm:ss]"
-SPELLED = "[MMMM d, yyyy][MMM d, yyyy][MMMM d yyyy][MMM d yyyy][d MMMM yyyy][d MMM yyyy][ H:mm:ss][ Z]"
+CLOCK = "[ h:mm:ss a][ h:mm a][ H:mm:ss][ H:mm]"
+SLASHED = "[yyyy/M/d][M/d/yyyy]" + CLOCK
+# The month first, and the day first where that is no date.
+DOTTED, DOTTED_DAY = "M.d.yyyy" + CLOCK, "d.M.yyyy" + CLOCK
+UNPADDED = "yyyy-M-d" + CLOCK
+SPELLED = "[MMMM d, yyyy][MMM d, yyyy][MMMM d yyyy][MMM d yyyy][d MMMM yyyy][d MMM yyyy][d-MMM-yyyy]" + CLOCK + "[ Z]"
+YEAR_LAST = "MMM d H:mm:ss yyyy"
 COMPACT = "yyyyMMdd'T'HHmmss[X]"
 _WEEKDAY = r"^[A-Za-z]{3}, "
+_BARE_WEEKDAY = r"^[A-Za-z]{3} (?=[A-Za-z]{3} +\d)"
+# Eight digits that form a date are one, and no epoch number of the year 1970.
+DIGITS = r"^(19|20)\d{2}(0[1-9]|1[0-2])(0[1-9]|[12]\d|3[01])$"
 
 
 def epoch_time(number: Column) -> Column:
@@ -42,14 +50,18 @@ def text_time(text: Column) -> Column:
         F.when(text.rlike(ISO_START), text.try_cast("timestamp"))
         .when(text.contains("/"), read(text, SLASHED))
         .when(text.rlike("^[0-9]{8}T"), read(text, COMPACT))
-        .when(text.rlike("[A-Za-z]{3} "), read(F.regexp_replace(text, _WEEKDAY, ""), SPELLED))
+        .when(text.rlike(DIGITS), read(text, "yyyyMMdd"))
+        .when(text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}"), read(text, UNPADDED))
+        .when(text.rlike(r"^\d{1,2}\.\d{1,2}\.\d{4}"), F.coalesce(read(text, DOTTED), read(text, DOTTED_DAY)))
+        .when(text.rlike(_BARE_WEEKDAY), read(F.regexp_replace(F.regexp_replace(text, _BARE_WEEKDAY, ""), " +", " "), YEAR_LAST))
+        .when(text.rlike("[A-Za-z]{3}[ -]"), read(F.regexp_replace(text, _WEEKDAY, ""), SPELLED))
     )
 
 
 def number_in(text: Column) -> Column:
     """The epoch number in a trimmed text. Date texts are told apart before: trying to read
     one as a number costs an exception inside the cast."""
-    return F.when(~text.rlike(ISO_START), to_double(text))
+    return F.when(~text.rlike(ISO_START) & ~text.rlike(DIGITS), to_double(text))
 
 
 def time_of(number: Column, text: Column) -> Column:

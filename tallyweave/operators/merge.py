@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -42,21 +43,33 @@ def to_target(df: DataFrame, table: TargetTable, now: Column, keep: Sequence[str
     return df.select(*out, *[F.col(k) for k in keep])
 
 
-def last_per_key(df: DataFrame, key: str, order_by: Sequence[str], drop_order: bool = False) -> DataFrame:
+def breaks_required(df: DataFrame, table: TargetTable) -> Column:
+    """Whether a row would put a null into a column that must not be null."""
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    parts = [_typed(c, kinds[c.name]).isNull() for c in table.columns if not c.nullable and c.name in kinds and c.name != table.key]
+    return reduce(Column.__or__, parts, F.lit(False))
+
+
+def last_per_key(
+    df: DataFrame, key: str, order_by: Sequence[str], drop_order: bool = False, versions: str | None = None,
+) -> DataFrame:
     """The last row per key in the given order; rows without a key go.
 
     A hash of the whole row breaks remaining ties, so the choice never depends on how the
     data is partitioned. ``max_by`` is combined before the shuffle: a key that fills a third
-    of the table costs its reducer one row per map task.
+    of the table costs its reducer one row per map task. ``versions`` names a column that is
+    above 1 for keys with different rows.
     """
     columns = [c for c in df.columns if not (drop_order and c in order_by)]
     order = F.struct(*[F.col(c) for c in order_by], F.xxhash64(*columns))
     rest = [c for c in columns if c != key]
+    content = F.xxhash64(*columns)
+    several = [F.when(F.max(content) == F.min(content), 1).otherwise(2).alias(versions)] if versions else []
     return (
         df.where(F.col(key).isNotNull())
         .groupBy(key)
-        .agg(F.max_by(F.struct(*rest), order).alias("_row"))
-        .select(*[F.col(key) if c == key else F.col(f"_row.{c}").alias(c) for c in columns])
+        .agg(F.max_by(F.struct(*rest), order).alias("_row"), *several)
+        .select(*[F.col(key) if c == key else F.col(f"_row.{c}").alias(c) for c in columns], *[versions][: len(several)])
     )
 
 

@@ -233,11 +233,13 @@ def quality_gate(reports: DataFrame) -> None:
     first = failing.head(1)
     if first:
         name, score = first[0]
+        # Fixed value: the text of the gate.
         raise QualityGateError(f"Data Quality Gate Failed for {name}: {score:.1f}%")
 
 
 def quality_alerts(reports: DataFrame) -> DataFrame:
     """A warning row per dataset that does not pass; delivery is up to the caller."""
+    # Title and summary of a warning.
     return reports.where(~F.col("passed_threshold")).select(
         "dataset_name",
         "total_records",

@@ -88,6 +88,6 @@ def resolve_customers(customers: DataFrame, order_by: Sequence[str]) -> DataFram
     return known.unionByName(unknown)
 
 
-def merge_transactions(*frames: DataFrame) -> DataFrame:
+def merge_transactions(*frames: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Bag union without removing duplicates; the load keeps the last row per key."""
-    return union_aligned(frames, TRANSACTIONS)
+    return union_aligned(frames, TRANSACTIONS, keep)

@@ -140,7 +140,7 @@ def raw_fields(source: str, entity: str) -> tuple[RawField, ...]:
     key = (source.lower(), entity.lower())
     if key not in RAW_FIELDS:
         known = ", ".join(f"{s}.{e}" for s, e in RAW_FIELDS)
-        raise ValueError(f"Unsupported entity '{source}.{entity}'. Supported: {known}")
+        raise ValueError(f"no raw schema for '{source}.{entity}'; there are {known}")
     return RAW_FIELDS[key]
 
 
@@ -281,7 +281,7 @@ def target_table(name: str) -> TargetTable:
         if wanted in (table.name, table.alias):
             return table
     options = [n for t in TARGETS for n in (t.name, t.alias)]
-    raise ValueError(f"Unknown target table '{name}'. Valid options: {options}")
+    raise ValueError(f"'{name}' is no warehouse table; there are {options}")
 
 
 LOAD_AUDIT = struct_of(

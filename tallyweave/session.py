@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -10,7 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 STAGING_DATABASE = "tallyweave_staging"
-SETTINGS = {"spark.sql.session.timeZone": "UTC", "spark.sql.codegen.hugeMethodLimit": "8000"}
+SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Lets a join accept sides that are partitioned by the bucket alone.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
+}
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -29,10 +35,14 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by the cluster.
 
-    Only a session without the setting (tests on one machine) gets a folder of its own.
+    Only a session on one machine (tests) may go without the setting and gets a folder of its
+    own. On a cluster that folder would be a different one on each machine: an error.
     """
     folder = spark.conf.get(CHECKPOINT_SETTING, None)
     if not folder:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="tallyweave-")
         spark.conf.set(CHECKPOINT_SETTING, folder)
     return folder.rstrip("/")
@@ -43,6 +53,11 @@ def fresh_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def staging_database(spark: SparkSession) -> str:
+    """One database per shared folder, so that a later setting is followed."""
+    return f"{STAGING_DATABASE}_{hashlib.md5(shared_folder(spark).encode()).hexdigest()[:8]}"
+
+
 @contextmanager
 def stored(df: DataFrame, label: str):
     """The frame as a table in the shared folder for the length of a block.
@@ -51,10 +66,9 @@ def stored(df: DataFrame, label: str):
     again, not computed again.
     """
     spark = df.sparkSession
-    if not spark.catalog.databaseExists(STAGING_DATABASE):
-        folder = fresh_folder(spark, "staging")
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {STAGING_DATABASE} LOCATION '{folder}'")
-    name = f"{STAGING_DATABASE}.{label}_{uuid.uuid4().hex[:12]}"
+    folder, database = shared_folder(spark), staging_database(spark)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{folder}/{database}'")
+    name = f"{database}.{label}_{uuid.uuid4().hex[:12]}"
     try:
         df.write.format("parquet").saveAsTable(name)
         yield spark.table(name)

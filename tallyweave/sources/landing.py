@@ -15,6 +15,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from tallyweave.schemas import BILLING, raw_schema
 
 LINES, ENVELOPE = "lines", "envelope"
+# What happens to text that cannot be parsed: an error, or left out and read by the functions for rejects.
+RAISE, REJECT = "raise", "reject"
+BROKEN = "_broken"
 BATCH, EXTRACTED, SEQ, FILE = "_batch_id", "_extracted_at", "_seq", "_file"
 # The landing order of a record: what "first" and "last" mean for landed rows.
 LANDING_ORDER = (EXTRACTED, BATCH, FILE, SEQ)
@@ -136,18 +139,41 @@ def _flat(documents: DataFrame, record_fields: Sequence[str]) -> DataFrame:
 
 
 def _file_schema(record: T.StructType, layout: str) -> T.StructType:
+    broken = T.StructField(BROKEN, T.StringType())
     if layout == LINES:
-        return T.StructType([*record.fields, *_LINE_COLUMNS.fields, *_DATE_COLUMNS.fields])
+        return T.StructType([*record.fields, *_LINE_COLUMNS.fields, broken, *_DATE_COLUMNS.fields])
     if layout == ENVELOPE:
         return T.StructType([
             T.StructField("metadata", _METADATA),
             T.StructField("records", T.ArrayType(record)),
+            broken,
             *_DATE_COLUMNS.fields,
         ])
     raise ValueError(f"unknown layout '{layout}'")
 
 
-def _records(files: DataFrame, record: T.StructType, layout: str) -> DataFrame:
+def _unreadable(layout: str) -> Column:
+    """Whether a line or document is no JSON, or an envelope without its list of records.
+
+    A record with a value of another type is marked by the reader too, but can be read.
+    """
+    broken = F.col(BROKEN).isNotNull() & F.try_parse_json(BROKEN).isNull()
+    # A broken line has no column at all; Spark asks for one beside that of the broken text.
+    return broken | F.col("records").isNull() if layout == ENVELOPE else broken & F.col(BATCH).isNull()
+
+
+def _checked(files: DataFrame, layout: str, on_broken: str) -> DataFrame:
+    if on_broken not in (RAISE, REJECT):
+        raise ValueError(f"on_broken is '{RAISE}' or '{REJECT}', not '{on_broken}'")
+    bad = _unreadable(layout)
+    if on_broken == REJECT:
+        return files.where(~bad)
+    where = F.concat(F.lit("unreadable text in "), F.col("_metadata.file_path"))
+    return files.where(F.when(bad, F.raise_error(where).cast("boolean")).otherwise(True))
+
+
+def _records(files: DataFrame, record: T.StructType, layout: str, on_broken: str) -> DataFrame:
+    files = _checked(files, layout, on_broken)
     if layout == ENVELOPE:
         return _flat(files, record.fieldNames())
     return files.withColumn(FILE, F.col("_metadata.file_path")).select(
@@ -156,29 +182,55 @@ def _records(files: DataFrame, record: T.StructType, layout: str) -> DataFrame:
 
 def read_landing(
     spark: SparkSession, root: str, source: str, entity: str, layout: str = LINES,
-    days: tuple[str, str] | None = None, record: T.StructType | None = None,
+    days: tuple[str, str] | None = None, record: T.StructType | None = None, on_broken: str = RAISE,
 ) -> DataFrame:
     """All landed records of an entity with their landing order.
 
     ``days`` (first and last, ``YYYY-MM-DD``) prunes partitions. An entity without files is
-    empty. Plain and gzip files may be mixed.
+    empty. Plain and gzip files may be mixed. A line or document that is no JSON is an error,
+    or with ``on_broken="reject"`` left to ``read_rejects``.
     """
     record = record or raw_schema(source, entity)
-    schema = _file_schema(record, layout)
+    files = _files(spark, root, source, entity, layout, record)
+    if files is None:
+        plain = [*record.fields, *[
+            T.StructField(c, T.LongType() if c == SEQ else T.StringType()) for c in LANDING_ORDER
+        ], *_DATE_COLUMNS.fields]
+        return _empty(spark, T.StructType(plain))
+    if days:
+        files = files.where(_day_filter(*days))
+    return _records(files, record, layout, on_broken)
+
+
+def _files(
+    spark: SparkSession, root: str, source: str, entity: str, layout: str, record: T.StructType,
+) -> DataFrame | None:
+    """Lines or documents as they are parsed; None where nothing has landed."""
+    reader = spark.read.schema(_file_schema(record, layout)).option("columnNameOfCorruptRecord", BROKEN)
     try:
         # An envelope may span lines, so a file is one document there.
-        files = spark.read.schema(schema).option("multiLine", layout == ENVELOPE).json(
-            entity_folder(root, source, entity))
+        return reader.option("multiLine", layout == ENVELOPE).json(entity_folder(root, source, entity))
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        plain = [*record.fields, *[
-            T.StructField(c, T.LongType() if c == SEQ else T.StringType()) for c in LANDING_ORDER
-        ], *_DATE_COLUMNS.fields]
-        return _empty(spark, T.StructType(plain))
+    return None
+
+
+def read_rejects(
+    spark: SparkSession, root: str, source: str, entity: str, layout: str = LINES,
+    days: tuple[str, str] | None = None,
+) -> DataFrame:
+    """Text that ``read_landing`` cannot read: file, landing day and the text itself.
+
+    An envelope that is JSON but holds no list of records is there with a null text.
+    """
+    files = _files(spark, root, source, entity, layout, raw_schema(source, entity))
+    if files is None:
+        return _empty(spark, T.StructType([T.StructField(FILE, T.StringType()), *_DATE_COLUMNS.fields, T.StructField("text", T.StringType())]))
     if days:
         files = files.where(_day_filter(*days))
-    return _records(files, record, layout)
+    return files.where(_unreadable(layout)).select(
+        F.col("_metadata.file_path").alias(FILE), "year", "month", "day", F.col(BROKEN).alias("text"))
 
 
 def _day_filter(first: str, last: str) -> Column:
@@ -191,14 +243,26 @@ def _day_filter(first: str, last: str) -> Column:
 
 def stream_landing(
     spark: SparkSession, root: str, source: str, entity: str, layout: str = LINES,
-    files_per_batch: int | None = None, record: T.StructType | None = None,
+    files_per_batch: int | None = None, record: T.StructType | None = None, on_broken: str = RAISE,
 ) -> DataFrame:
-    """``read_landing`` as a stream: each file is read once per checkpoint."""
+    """``read_landing`` as a stream: each file is read once per checkpoint.
+
+    An entity without files is a stream without rows until the first ones land.
+    """
     record = record or raw_schema(source, entity)
     reader = spark.readStream.schema(_file_schema(record, layout)).option("multiLine", layout == ENVELOPE)
+    reader = reader.option("columnNameOfCorruptRecord", BROKEN)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return _records(reader.json(entity_folder(root, source, entity)), record, layout)
+    folder = entity_folder(root, source, entity)
+    try:
+        files = reader.json(folder)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        _empty(spark, record).coalesce(1).write.mode("append").json(folder)     # makes the folder
+        files = reader.json(folder)
+    return _records(files, record, layout, on_broken)
 
 
 def list_batches(spark: SparkSession, root: str, source: str, entity: str) -> DataFrame:
@@ -218,11 +282,22 @@ def landed_batches(landed: DataFrame) -> DataFrame:
     return landed.groupBy(BATCH, EXTRACTED, FILE).agg(F.count(F.lit(1)).alias("record_count"))
 
 
-def unwrap_list(df: DataFrame, json_col: str, source: str, entity: str) -> DataFrame:
+def _no_list(json_col: str, items: str) -> Column:
+    """Whether a text is no JSON document with a list of that name."""
+    return F.coalesce(F.try_variant_get(F.try_parse_json(json_col), f"$.{items}", "array<variant>").isNull(), F.lit(True))
+
+
+def broken_lists(df: DataFrame, json_col: str, source: str) -> DataFrame:
+    """The rows whose text is no list response."""
+    return df.where(_no_list(json_col, "data" if source.lower() == BILLING else "records"))
+
+
+def unwrap_list(df: DataFrame, json_col: str, source: str, entity: str, on_broken: str = RAISE) -> DataFrame:
     """Records of list responses held as JSON text, one row each, with the paging fields.
 
     Billing lists carry ``has_more``; CRM results carry ``totalSize``, ``done`` and
-    ``nextRecordsUrl``. Unreadable text gives no records.
+    ``nextRecordsUrl``. Text that is no list response is an error, or with
+    ``on_broken="reject"`` left to ``broken_lists``.
     """
     record = T.ArrayType(raw_schema(source, entity))
     if source.lower() == BILLING:
@@ -234,6 +309,11 @@ def unwrap_list(df: DataFrame, json_col: str, source: str, entity: str) -> DataF
             T.StructField("nextRecordsUrl", T.StringType()),
         ], "records"
     shape = T.StructType([*paging, T.StructField(items, record)])
+    bad = _no_list(json_col, items)
+    if on_broken == REJECT:
+        df = df.where(~bad)
+    else:
+        df = df.where(F.when(bad, F.raise_error(F.lit("a text is no list response")).cast("boolean")).otherwise(True))
     others = [c for c in df.columns if c != json_col]
     parsed = df.select(*others, F.from_json(json_col, shape).alias("_list"))
     return parsed.select(

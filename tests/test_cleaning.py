@@ -128,3 +128,12 @@ def test_names_and_integers(spark):
 @pytest.mark.parametrize("text", ["x" * 5000 + " " * 5000, " " * 100000 + "y"])
 def test_long_texts_are_trimmed_whole(spark, text):
     assert spark.createDataFrame([(text,)], "x string").select(trim_blank(F.col("x"))).head()[0] == text.strip()
+
+
+@pytest.mark.parametrize(("text", "wanted"), [
+    ("20240115", "2024-01-15T00:00:00Z"), ("01/31/2024 07:08", "2024-01-31T07:08:00Z"), ("1/5/2024 3:04 PM", "2024-01-05T15:04:00Z"),
+    ("Jan 15 2024 10:30 AM", "2024-01-15T10:30:00Z"), ("2024-1-5", "2024-01-05T00:00:00Z"), ("15-Jan-2024", "2024-01-15T00:00:00Z"),
+    ("15.01.2024", "2024-01-15T00:00:00Z"), ("Mon Jan 15 10:30:00 2024", "2024-01-15T10:30:00Z"), ("1704067200", "2024-01-01T00:00:00Z"),
+])
+def test_further_layouts(spark, text, wanted):
+    assert spark.range(1).select(utc_iso(F.lit(text)).alias("t")).head().t == wanted

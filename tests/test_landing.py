@@ -7,7 +7,7 @@ from samples import entities, entity, values
 
 from tallyweave.sources.curated import curated_path, read_curated, write_curated
 from tallyweave.sources.landing import (
-    ENVELOPE, LANDING_COLUMNS, envelopes, landed_batches, list_batches, read_landing, unwrap_list, write_envelopes,
+    ENVELOPE, LANDING_COLUMNS, envelopes, landed_batches, list_batches, read_landing, read_rejects, broken_lists, unwrap_list, write_envelopes,
     write_landing,
 )
 from tallyweave.sources.raw_check import check_raw
@@ -74,7 +74,7 @@ def test_nothing_landed(spark, tmp_path):
     found = read_landing(spark, str(tmp_path), "salesforce", "orders")
     assert found.isEmpty() and "TotalAmount" in found.columns
     assert list_batches(spark, str(tmp_path), "salesforce", "orders").isEmpty()
-    with pytest.raises(ValueError, match="Unsupported entity"):
+    with pytest.raises(ValueError, match="no raw schema"):
         read_landing(spark, str(tmp_path), "stripe", "refunds")
 
 
@@ -104,8 +104,12 @@ def test_all_entities_land(spark, tmp_path):
 
 def test_list_responses(spark):
     billing = json.dumps({"object": "list", "data": [{"id": "a"}, {"id": "b"}], "has_more": True})
-    found = unwrap_list(spark.createDataFrame([(1, billing), (2, "broken"), (3, '{"data": []}')], "n int, body string"),
-                        "body", "stripe", "customers")
+    bodies = spark.createDataFrame(
+        [(1, billing), (2, "broken"), (3, '{"data": []}'), (4, billing[:40]), (5, '{"error": 1}'), (6, None)], "n int, body string")
+    found = unwrap_list(bodies, "body", "stripe", "customers", on_broken="reject")
+    assert sorted(values(broken_lists(bodies, "body", "stripe"), "n")) == [2, 4, 5, 6]
+    with pytest.raises(Exception, match="no list response"):
+        unwrap_list(bodies, "body", "stripe", "customers").collect()
     assert [(r.n, r.has_more, r.pos, r.record.id) for r in found.collect()] == [(1, True, 0, "a"), (1, True, 1, "b")]
     crm = json.dumps({"totalSize": 5, "done": False, "nextRecordsUrl": "/q/2", "records": [{"Id": "1", "attributes": {"t": 1}}]})
     row = unwrap_list(spark.createDataFrame([(crm,)], "body string"), "body", "salesforce", "accounts").head()
@@ -168,3 +172,22 @@ def test_curated_copies(spark, tmp_path):
     assert read_curated(spark, str(tmp_path), "companies", "json").exceptAll(companies).isEmpty()
     assert write_curated(companies.limit(0), str(tmp_path / "none"), "companies") is None
     assert not (tmp_path / "none").exists() and curated_path("x/", "companies") == "x/curated/dim_companies.parquet"
+
+
+@pytest.mark.parametrize("layout", ["lines", "envelope"])
+def test_broken_text_is_raised_or_rejected(spark, tmp_path, layout):
+    folder = tmp_path / "raw/stripe/charges/year=2024/month=05/day=12"
+    folder.mkdir(parents=True)
+    record = {"id": "ch_1", "amount": "not a number"}
+    if layout == "lines":
+        good = [json.dumps({**record, "_batch_id": "b", "_extracted_at": "2024-05-12T00:00:00Z", "_seq": 1})]
+        (folder / "a.json").write_text("\n".join([*good, '{"id": "ch_2", "amo', "nonsense"]) + "\n")
+    else:
+        whole = json.dumps({"metadata": {"batch_id": "b", "extracted_at": "2024-05-12T00:00:00Z"}, "records": [{"id": "ch_1"}]})
+        for name, text in (("a", whole), ("b", whole[:-9]), ("c", '{"metadata": {}}')):
+            (folder / f"{name}.json").write_text(text)
+    read = lambda how: read_landing(spark, str(tmp_path), "stripe", "charges", layout=layout, on_broken=how)
+    assert values(read("reject"), "id") == ["ch_1"]
+    assert read_rejects(spark, str(tmp_path), "stripe", "charges", layout=layout).count() == 2
+    with pytest.raises(Exception, match="unreadable text"):
+        read("raise").select("id").collect()

@@ -164,8 +164,9 @@ def _loaded_twice(spark, folder) -> Warehouse:
     root = fresh_folder(spark, "curated")
     stored = {n: write_curated(t, root, n, json=False) for n, t in all_tables(spark, folder).items()}
     tables = {n: t.where(row_is_valid(t, ROW_RULES[n])) for n, t in stored.items()}
+    order = {n: ("_row_key",) for n, t in tables.items() if "_row_key" in t.columns}
     for batch_id in ("first", "second"):
-        warehouse.load_all(tables, batch_id, now=NOW)
+        warehouse.load_all(tables, batch_id, order_by=order, now=NOW)
     return warehouse
 
 

@@ -42,7 +42,8 @@ def _odd(count: int, seed: int) -> np.ndarray:
     return np.array([xxhash.xxh3_64_intdigest(b"%d/%d" % (seed, k)) | 1 for k in range(count)], np.uint64)
 
 
-MULTIPLIERS, SHIFTS, PLACES = _odd(BANDS * ROWS, 1), _odd(BANDS * ROWS, 2), _odd(GRAM, 3)
+PLACES = _odd(GRAM, 3)
+MULTIPLIERS, SHIFTS = (_odd(BANDS * ROWS, k).astype(np.uint32)[:, None] for k in (1, 2))
 
 
 class Hashes(dict):
@@ -70,10 +71,13 @@ def grams(text: str | None, hashes: Hashes) -> np.ndarray:
 
 
 def signature(own: np.ndarray) -> list[int]:
-    """One hash per band, over the smallest values of ``ROWS`` permutations."""
-    least = np.empty(BANDS * ROWS, np.uint64)
-    for k in range(BANDS * ROWS):
-        least[k] = ((own ^ SHIFTS[k]) * MULTIPLIERS[k]).min()
+    """One hash per band, over the smallest values of ``ROWS`` permutations of 32-bit hashes."""
+    folded = (own >> np.uint64(32)).astype(np.uint32)
+    least = np.full(BANDS * ROWS, np.iinfo(np.uint32).max, np.uint32)
+    for start in range(0, len(folded), 1024):
+        values = folded[start:start + 1024] ^ SHIFTS
+        values *= MULTIPLIERS
+        np.minimum(least, values.min(axis=1), out=least)
     return [xxhash.xxh3_64_intdigest(least[k:k + ROWS].tobytes()) - (1 << 63) for k in range(0, BANDS * ROWS, ROWS)]
 
 
@@ -88,7 +92,7 @@ def linked(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     Repeated rows fall into one class. A null key is lower than any other.
 
     Classes are hashed in bands, whose number follows from ``RECALL``, and meet in the buckets
-    of their band hashes. A bucket above ``BLOCK`` texts is dealt out in blocks, and every pair
+    of their band hashes; buckets with the same texts are one. A bucket above ``BLOCK`` texts is dealt out in blocks, and every pair
     of blocks is a task of its own. A pair counts only in the first band that it shares, is
     compared on full n-gram sets, and reaches no further than sums and a spanning forest.
     """
@@ -103,7 +107,11 @@ def linked(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     classes = cut(classes)
 
     buckets = classes.select("node", F.posexplode("bands").alias("band", "bucket"))
-    full = buckets.groupBy("band", "bucket").agg(F.count("*").alias("texts")).where("texts > 1")
+    full = buckets.groupBy("band", "bucket").agg(
+        F.count("*").alias("texts"), F.bit_xor(F.xxhash64("node")).alias("all"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("all2"),
+    ).where("texts > 1")
+    # Buckets that hold the same texts are one: the first of them.
+    full = full.groupBy("texts", "all", "all2").agg(F.min(F.struct("band", "bucket")).alias("at")).select("texts", "at.*")
     blocks = F.ceil(F.col("texts") / BLOCK).cast("int")
     members = buckets.join(full, ["band", "bucket"]).select(
         "node", "band", "bucket", blocks.alias("blocks"), F.pmod(F.xxhash64("node"), blocks.cast("long")).cast("int").alias("block"),
@@ -112,7 +120,8 @@ def linked(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
 
     # One text per class that shares a bucket, with its n-grams.
     needed = members.select("node").distinct().join(classes, "node").select("node", "bands", "size", "first.*")
-    content = join_rows(rows.select(*IDENTITY, "_text").dropDuplicates(list(IDENTITY)), needed, "inner").drop(*IDENTITY)
+    content = join_rows(rows.select(*IDENTITY, "_text"), needed, "inner").drop(*IDENTITY)
+    content = content.groupBy("node").agg(*(F.any_value(c).alias(c) for c in ("bands", "size", "_text")))     # repeated rows
     sets = content.mapInPandas(_with_grams, "node binary, bands array<long>, size int, grams binary")
     dealt = members.select("node", "band", "bucket", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     pieces = dealt.join(sets, "node").select(

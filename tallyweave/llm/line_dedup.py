@@ -49,10 +49,11 @@ def without_boilerplate(
     likely = cut(spread.where(F.col("_sites") >= least_sites * (1 - MARGIN)))
     near = likely.where(F.col("_sites") <= least_sites * (1 + MARGIN))
     exact = (
-        lines.join(near.select(*line), line, "left_semi").where(F.col("_site").isNotNull())
-        .select(*line, "_site").distinct().groupBy(*line).agg(F.count("*").alias("_exact"))
+        lines.where(F.col("_site").isNotNull()).select(*line, "_site").distinct()     # combined before the shuffle
+        .join(near.select(*line), line, "left_semi").groupBy(*line).agg(F.count("*").alias("_exact"))
     )
-    boilerplate = (
+    # Stored, so that the next join has plain shuffles on both sides and a hot line can be split.
+    boilerplate = cut(
         likely.join(exact, line, "left")
         .where(F.coalesce(F.col("_exact"), F.col("_sites")) >= least_sites).select(*line, "_first")
     )

@@ -81,7 +81,8 @@ def judged(docs: DataFrame, key: str = "doc_id", host: str = "source", text: str
     base = (words < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * words)
     more = (100 * F.col("n_symbols") > MOST_SYMBOLS * words) | (100 * F.col("n_dup_lines") > MOST_EQUAL_LINES * F.col("n_lines"))
     counts = cut(found.withColumn("base_failed", base).withColumn("rule_failed", base | more))
-    hosts = host_rates(counts.where(F.col("_host").isNotNull()), "_host", "rule_failed")
+    # Stored, so that the join below can split a hot host or broadcast few hosts.
+    hosts = cut(host_rates(counts.where(F.col("_host").isNotNull()), "_host", "rule_failed"))
     verdict = ~F.col("rule_failed") & (F.coalesce(F.col("host_rate"), F.lit(0.0)) <= HOST_RATE)
     return counts.join(hosts, "_host", "left").select(
         F.col("_key").cast(docs.schema[key].dataType).alias(key), F.col("_host").alias(host), *COUNTS,

@@ -28,8 +28,8 @@ def without_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFram
 
 
 def without_boilerplate(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """All documents, without lines that many sources share; ``n_chars`` follows the text."""
-    cleaned = line_dedup.without_boilerplate(docs)
+    """All documents, without lines of any length that many sources share; ``n_chars`` follows the text."""
+    cleaned = line_dedup.without_boilerplate(docs, least_words=1)
     length = F.length("text").cast(docs.schema["n_chars"].dataType)
     return cleaned.withColumn("n_chars", length).select(*docs.columns)
 

@@ -12,7 +12,7 @@ from tallyweave.llm.rows import IDENTITY, bound, join_rows, wrapped
 
 #: A line on so many sites is boilerplate.
 LEAST_SITES = 10
-#: Shorter lines are left alone.
+#: Shorter lines are left alone, unless the caller says otherwise.
 LEAST_WORDS = 3
 #: Logarithm of the number of registers of a sketch.
 REGISTERS = 12
@@ -22,12 +22,12 @@ MARGIN = 4 * 1.04 / math.sqrt(2**REGISTERS)
 
 def without_boilerplate(
     docs: DataFrame, key: str = "doc_id", site: str = "source", text: str = "text", least_sites: int = LEAST_SITES,
-    removed: str | None = None,
+    removed: str | None = None, least_words: int = LEAST_WORDS,
 ) -> DataFrame:
     """All rows, their texts without the boilerplate lines.
 
-    A line is what stands between line feeds, compared exactly. One of at least ``LEAST_WORDS``
-    words that stands on ``least_sites`` distinct sites or more is boilerplate; it stays where
+    A line is what stands between line feeds, compared exactly. One of at least ``least_words``
+    words (runs of anything but ASCII white space, so a line in a script without spaces is one) that stands on ``least_sites`` distinct sites or more is boilerplate; it stays where
     it stands first (lowest key, then lowest hash of the text, then first place) and goes
     everywhere else. Sites are counted by a HyperLogLog sketch per line hash, merged by partial
     aggregation; where the estimate is within ``MARGIN`` of the threshold, exactly.
@@ -38,7 +38,7 @@ def without_boilerplate(
     """
     rows = wrapped(docs, key, text)
     lines = rows.select(*IDENTITY, F.col(f"_row.{site}").cast("string").alias("_site"), F.posexplode(F.split("_text", "\n")).alias("_at", "_line"))
-    lines = lines.where(F.regexp_count("_line", F.lit(WORD)) >= LEAST_WORDS).select(
+    lines = lines.where(F.regexp_count("_line", F.lit(WORD)) >= least_words).select(
         *IDENTITY, "_site", "_at", F.xxhash64("_line").alias("_hash"), F.hash("_line").alias("_hash2"),
     )
     line = ["_hash", "_hash2"]

@@ -5,6 +5,7 @@ import pytest
 from conftest import ODD, words
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tallyweave.llm import decontaminate, line_dedup, quality_rules, quality_trees, toxicity
 
 BOILERPLATE = "all rights reserved by the owner"
@@ -31,6 +32,16 @@ def test_lines_near_the_threshold_are_counted(documents, sites, gone):
     assert line_dedup.without_boilerplate(documents(rows)).where("text = ''").count() == gone
 
 
+def test_short_lines_go_in_the_pipeline(spark, documents):
+    short = ["Les.", "And ornd.", "利用規約とプライバシーポリシー"]
+    rows = [(k, "\n".join([f"own line {k} here", *short, "", " \t", "Few." if k < 9 else "own"]), f"s{k}") for k in range(12)]
+    found = {r["doc_id"]: r for r in corpus_pipeline.without_boilerplate(spark, documents(rows), "").collect()}
+    assert found[0]["text"] == rows[0][1]
+    for k in range(1, 12):
+        left = "\n".join([f"own line {k} here", "", " \t", "Few." if k < 9 else "own"])
+        assert (found[k]["text"], found[k]["n_chars"]) == (left, len(left))
+
+
 def test_lines_without_rows(documents):
     assert line_dedup.without_boilerplate(documents([])).collect() == []
 

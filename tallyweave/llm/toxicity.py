@@ -23,9 +23,8 @@ CALIBRATION = 8_000
 #: Passages of each class that reach the driver, and their length in words.
 PASSAGES = 120_000
 PASSAGE_WORDS = 4
-#: Bytes of the dictionary of ordinary text, and words in that of toxic text.
+#: Bytes of the dictionary of ordinary text; that of toxic text has all words that tell it apart.
 ORDINARY_BYTES = 112_640
-TOXIC_WORDS = 300
 #: Lengths of character sequences looked at, and how many times more often a telling one must be toxic.
 SEQUENCES = range(4, 11)
 PURITY = 20
@@ -160,7 +159,7 @@ def telling(toxic: list[bytes], ordinary: list[bytes]) -> bytes:
         w: n for w, n in inside.items()
         if n >= PURITY * outside[w] * scale and any(n >= 3 or s[:1] == b" " for s in sequences(w) & marks)
     })
-    ranked = sorted(words, key=lambda w: (-words[w], w))[:TOXIC_WORDS]
+    ranked = sorted(words, key=lambda w: (-words[w], w))
     return b"".join(FRAME + w + b" " for w in reversed(ranked))
 
 

@@ -111,6 +111,20 @@ def labels(spark, rows):
     return spark.createDataFrame(rows, "doc_id long, toxic int, quality int")
 
 
+def test_all_telling_words_are_kept():
+    pick = random.Random(5)
+    word = lambda first: first + bytes(pick.choice(b"abcdefghijklm") for _ in range(8))
+    telling, plain = sorted({word(b"z") for _ in range(1000)}), [word(b"y") for _ in range(300)]
+    passage = lambda own: b" " + b" ".join([*own, *pick.sample(plain, 3)])
+    toxic, ordinary = [passage([w]) for w in telling for _ in range(40)], [passage([]) for _ in range(40000)]
+    content = toxicity.telling(toxic, ordinary)
+    assert sorted(content.split()) == telling
+    distances = toxicity.Distances(toxicity.Model(b"".join(ordinary)[-toxicity.ORDINARY_BYTES:], content, [], 0.5))
+    missed = [w for w in telling if distances[w] == 0]
+    assert not missed, len(missed)
+    assert sum(distances[w] > 0 for w in plain) == 0
+
+
 def test_toxic_words_are_learnt(spark, documents):
     pick = random.Random(1)
     syllables = ["ta", "mo", "ri", "len", "sho", "ba", "ker", "du", "fin", "wo"]

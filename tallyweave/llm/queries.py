@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweave.llm import byte_bpe, decontaminate, jaccard_join, line_dedup, lm_score, quality_rules, quality_trees, sql, token_counts, toxicity, training_order
+from tallyweave.llm import byte_bpe, decontaminate, jaccard_join, line_dedup, lm_score, merkle, quality_rules, quality_trees, sql, token_counts, toxicity, training_order
 from tallyweave.llm.common import remainder, table
 from tallyweave.llm.pieces import read_vocabulary
 
@@ -94,3 +95,14 @@ def op9_training_order(spark: SparkSession, folder: str) -> DataFrame:
     encoder = byte_bpe.encoder(spark, ranks, public_tokenizers.PATTERN)
     found = training_order.sequences(table(spark, folder, "documents"), encoder, separator=max(ranks.values()) + 1)
     return training_order.shards(found, ORDER_KEY).withColumn("sha256", F.sha2("payload", 256))
+
+
+@query
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    tampered = F.when(remainder(F.col("doc_id"), 5) == 0, F.translate("text", string.ascii_uppercase, string.ascii_lowercase)).otherwise(F.col("text"))
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    tree = merkle.manifest(table(spark, folder, "documents"), "doc_id", "source", columns, {"text": tampered})
+    return merkle.folded(tree).withColumnRenamed("_key", "doc_id")
+
+
+SQL |= {"op11_merkle_manifest": sql.MERKLE}

@@ -78,3 +78,50 @@ SELECT doc_id, item_id, count(*) AS n_shared, any_value(n_item) AS n_item
 FROM runs JOIN tests USING (run) JOIN sizes USING (item_id)
 GROUP BY doc_id, item_id HAVING 100 * count(*) >= 80 * any_value(n_item)
 """
+
+#: crc32 of a short text, by its table of 256 entries.
+CRC32 = """
+crc_table AS (
+    SELECT list_transform(range(256), lambda n: list_reduce(list_concat([n::BIGINT], range(8)),
+        lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
+)"""
+CRC32_OF = """xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split({}, ''), lambda x: ascii(x)::BIGINT)),
+    lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295)"""
+
+_FIELDS = " || ".join(f"coalesce(strlen({c}::VARCHAR) || ':' || {c}, '-')" for c in ("doc_id", "source", "lang", "n_chars", "text"))
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+
+def _levels(nodes: str, folds: str, name: str, count: int) -> str:
+    """CTEs of ``count`` levels above ``nodes`` (g, pos, h, n) and of the ways up of ``folds`` (r, g, pos, h, proof)."""
+    text = f", {name}0 AS (SELECT g, pos, h, n FROM {nodes}), {name}_up0 AS (SELECT r, g, pos, h, proof FROM {folds})"
+    for k in range(count):
+        text += f""", {name}{k + 1} AS (
+    SELECT g, pos // 16 AS pos, CASE WHEN any_value(n) > 1 THEN sha256(string_agg(h, '' ORDER BY pos)) ELSE any_value(h) END AS h,
+        (any_value(n) + 15) // 16 AS n FROM {name}{k} GROUP BY g, pos // 16
+), {name}_up{k + 1} AS (
+    SELECT r, u.g, u.pos // 16 AS pos, any_value(proof) || coalesce(string_agg(CASE WHEN o.pos <> u.pos THEN o.h END, '' ORDER BY o.pos), '') AS proof,
+        CASE WHEN any_value(n) > 1 THEN sha256(string_agg(CASE WHEN o.pos = u.pos THEN u.h ELSE o.h END, '' ORDER BY o.pos)) ELSE any_value(u.h) END AS h
+    FROM {name}_up{k} u JOIN {name}{k} o ON o.g = u.g AND o.pos // 16 = u.pos // 16 GROUP BY r, u.g, u.pos
+)"""
+    return text
+
+
+#: op11: six levels of leaves (16 million a source), then five of sources.
+MERKLE = "WITH" + CRC32 + f""", lowered AS (
+    SELECT *, CASE WHEN {CRC32_OF.format("doc_id::VARCHAR")} % 5 = 0 THEN translate(text, '{_UPPER}', '{_UPPER.lower()}') ELSE text END AS low
+    FROM documents, crc_table
+), leaves AS (
+    SELECT row_number() OVER () AS r, doc_id, coalesce('1' || source, '0') AS g, sha256({_FIELDS}) AS h, sha256({_FIELDS.replace("text", "low")}) AS new
+    FROM lowered
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id, h) - 1 AS pos, count(*) OVER (PARTITION BY g) AS n FROM leaves
+), started AS (SELECT r, g, pos, new AS h, '' AS proof FROM placed)""" + _levels("placed", "started", "l", 6) + """, subroots AS (
+    SELECT g AS s, h, 'top' AS g, row_number() OVER (ORDER BY g) - 1 AS pos, count(*) OVER () AS n FROM l6
+), risen AS (
+    SELECT r, 'top' AS g, subroots.pos, l_up6.h, proof FROM l_up6 JOIN subroots ON l_up6.g = s
+)""" + _levels("subroots", "risen", "t", 5) + """
+SELECT doc_id, placed.h AS leaf, subroots.h AS subroot, t5.h AS root, sha256(t_up5.proof) AS proof_sha256, t_up5.h AS folded_root, t_up5.h = t5.h AS verified
+FROM placed JOIN t_up5 USING (r) JOIN subroots ON s = placed.g, t5
+"""

@@ -166,7 +166,7 @@ def manifest(docs: DataFrame, key: str, group: str, columns: Sequence[str], repl
     rounds = _rounds(laid(_sized(placed), "placed"))
 
     subroots = rounds[-1].select(F.col("_group").alias("_of"), F.col("_leaf").alias("_leaf"))
-    ordered = running(subroots, ["_of"], "_at").withColumn("_group", F.lit(""))
+    ordered = laid(running(subroots, ["_of"], "_at").withColumn("_group", F.lit("")), "groups")
     groups = _rounds(laid(_sized(ordered), "groups"))
     root = groups[-1].select(
         "_group", F.lit(0).cast("long").alias("_at"), F.array().cast(PATH).alias("path"),

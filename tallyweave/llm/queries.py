@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweave.llm import byte_bpe, decontaminate, jaccard_join, line_dedup, lm_score, merkle, packing, quality_rules, quality_trees, sql, token_counts, toxicity, training_order
+from tallyweave.llm import byte_bpe, collocations, decontaminate, jaccard_join, line_dedup, lm_score, merkle, packing, quality_rules, quality_trees, sql, token_counts, toxicity, training_order
 from tallyweave.llm.common import remainder, table
 from tallyweave.llm.pieces import read_vocabulary
 
@@ -117,3 +117,11 @@ def op13_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     encode = packing.encoder(spark, *map(public_tokenizers.path, ("byte_bpe_50k.json", "byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN)
     cut = packing.pieces(table(spark, folder, "documents"), encode, END, CAPACITY, ids=False)
     return packing.packed(cut, CAPACITY)
+
+
+@query
+def op12_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
+SQL |= {"op12_phrase_collocations": sql.COLLOCATIONS}

@@ -125,3 +125,35 @@ MERKLE = "WITH" + CRC32 + f""", lowered AS (
 SELECT doc_id, placed.h AS leaf, subroots.h AS subroot, t5.h AS root, sha256(t_up5.proof) AS proof_sha256, t_up5.h AS folded_root, t_up5.h = t5.h AS verified
 FROM placed JOIN t_up5 USING (r) JOIN subroots ON s = placed.g, t5
 """
+
+#: op12: phrases as texts; a phrase of k words is split at its spaces.
+COLLOCATIONS = f"""
+WITH lowered AS (
+    SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}') AS t FROM documents
+), pieces AS (
+    SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w
+    FROM (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM lowered)
+), grams AS (
+    SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS p
+    FROM pieces, (SELECT unnest([1, 2, 3]) AS k) WHERE len(w) >= k
+), f AS (
+    SELECT lang, k, p, count(*) AS f, string_split(p, ' ') AS w FROM grams GROUP BY lang, k, p
+), sums AS (
+    SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang
+), cuts AS (
+    SELECT f.lang, f.k, f.p, f.f AS a, cut, l.f AS l, r.f AS r, (1000000::HUGEINT * f.f * f.f) // (l.f::HUGEINT * r.f) AS score
+    FROM (SELECT *, unnest(range(1, k)) AS cut FROM f WHERE k > 1 AND f >= 10) f
+    JOIN f l ON l.lang = f.lang AND l.p = array_to_string(f.w[:cut], ' ')
+    JOIN f r ON r.lang = f.lang AND r.p = array_to_string(f.w[cut + 1:], ' ')
+), weakest AS (
+    SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, cut) = 1
+), inner_pairs AS (
+    SELECT lang, p, max(f) AS longer FROM (
+        SELECT lang, f, unnest([array_to_string(w[:2], ' '), array_to_string(w[2:], ' ')]) AS p FROM f WHERE k = 3 AND f >= 10
+    ) GROUP BY lang, p
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, p) AS rank, p AS phrase, a, l, r, n, score::BIGINT AS score
+FROM weakest JOIN sums USING (lang) LEFT JOIN inner_pairs USING (lang, p)
+WHERE k = 3 OR longer IS NULL OR 100 * longer < 50 * a
+QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, p) <= 2000
+"""

@@ -73,6 +73,24 @@ def last_per_key(
     )
 
 
+def version_text(df: DataFrame, order_by: Sequence[str]) -> Column:
+    """The order columns of a row as one text that sorts as they do; nulls come first.
+
+    A row keeps it, so that a later load can tell whether its own row is the newer one.
+    """
+    parts = []
+    for name in order_by:
+        kind, value = df.schema[name].dataType, F.col(name)
+        if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+            kind, value = T.LongType(), F.unix_micros(value.cast("timestamp"))
+        if isinstance(kind, T.IntegralType):
+            value = F.lpad((value.cast("decimal(20,0)") + F.lit(str(2**63)).cast("decimal(20,0)")).cast("decimal(20,0)").cast("string"), 20, "0")
+        elif not isinstance(kind, T.StringType):
+            raise ValueError(f"'{name}' ({kind.simpleString()}) gives no order that can be kept; use texts, whole numbers or times")
+        parts.append(F.coalesce(value, F.lit("")))
+    return F.concat_ws("\x01", *parts)
+
+
 def existing_keys(target: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
     """Keys of the batch that the target already has. Reads one column of each side."""
     return target.select(key).join(incoming.select(key), key, "left_semi")
@@ -85,17 +103,24 @@ def merge_plan(
     now: Column,
     given: Sequence[str] | None = None,
     join_on: Sequence[str] = (),
+    version: str | None = None,
+    how: str = "full_outer",
 ) -> DataFrame:
     """Target after the upsert, with ``_op`` in insert, update and keep.
 
     One full outer join on the key; both sides have one row per key. On a match every column
     is replaced, also by null, or only the ``given`` ones. ``updated_at`` becomes ``now``.
+    ``version`` names a column: a row whose version is above that of the incoming one stays as
+    it is; a null on either side says nothing, so the incoming row wins. A ``left`` join leaves
+    new keys out.
     """
     keys = [*join_on, key]
     columns = target.columns
     old = target.withColumn("_old", F.lit(True)).alias("old")
     new = incoming.select(*columns).withColumn("_new", F.lit(True)).alias("new")
-    is_old, is_new = F.col("_old").isNotNull(), F.col("_new").isNotNull()
+    is_old, matched = F.col("_old").isNotNull(), F.col("_new").isNotNull()
+    stale = F.coalesce(F.col(f"old.{version}") > F.col(f"new.{version}"), F.lit(False)) if version else F.lit(False)
+    is_new = matched & ~stale
 
     def merged(name: str) -> Column:
         if name in keys:
@@ -108,7 +133,7 @@ def merge_plan(
             return F.when(is_old, old_value).otherwise(new_value).alias(name)
         return F.when(is_new, new_value).otherwise(old_value).alias(name)
 
-    return old.join(new, keys, "full_outer").select(
+    return old.join(new, keys, how).select(
         *[merged(c) for c in columns],
         F.when(is_old & is_new, UPDATE).when(is_new, INSERT).otherwise(KEEP).alias("_op"),
     )

@@ -12,12 +12,14 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from tallyweave.schemas import BILLING, raw_schema
+from tallyweave.functions.text import WHITE_SPACE
+from tallyweave.schemas import BILLING, raw_schema, struct_of
 
 LINES, ENVELOPE = "lines", "envelope"
-# What happens to text that cannot be parsed: an error, or left out and read by the functions for rejects.
-RAISE, REJECT = "raise", "reject"
-BROKEN = "_broken"
+# What happens to text that is no record: an error, left out and read by the functions for
+# rejects, or kept as a row that has nothing but its text and place.
+RAISE, REJECT, KEEP = "raise", "reject", "keep"
+BROKEN, TEXT = "_broken", "_text"
 BATCH, EXTRACTED, SEQ, FILE = "_batch_id", "_extracted_at", "_seq", "_file"
 # The landing order of a record: what "first" and "last" mean for landed rows.
 LANDING_ORDER = (EXTRACTED, BATCH, FILE, SEQ)
@@ -125,59 +127,57 @@ def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def _flat(documents: DataFrame, record_fields: Sequence[str]) -> DataFrame:
-    return documents.select(
-        F.posexplode("records"), "metadata", F.col("_metadata.file_path").alias(FILE), "year", "month", "day"
-    ).select(
+def _flat(documents: DataFrame, record_fields: Sequence[str], further: Sequence[str]) -> DataFrame:
+    # A text that is no envelope has no records; it stays as one row where it is to be kept.
+    explode = F.posexplode_outer if further else F.posexplode
+    return documents.select(explode("records"), "metadata", FILE, *further, *_DATE_COLUMNS.fieldNames()).select(
         *[F.col(f"col.{n}").alias(n) for n in record_fields],
         F.col("metadata.extracted_at").alias(EXTRACTED),
         F.col("metadata.batch_id").alias(BATCH),
         FILE,
         F.col("pos").cast("long").alias(SEQ),
-        "year", "month", "day",
+        *_DATE_COLUMNS.fieldNames(), *further,
     )
 
 
-def _file_schema(record: T.StructType, layout: str) -> T.StructType:
-    broken = T.StructField(BROKEN, T.StringType())
-    if layout == LINES:
-        return T.StructType([*record.fields, *_LINE_COLUMNS.fields, broken, *_DATE_COLUMNS.fields])
-    if layout == ENVELOPE:
-        return T.StructType([
-            T.StructField("metadata", _METADATA),
-            T.StructField("records", T.ArrayType(record)),
-            broken,
-            *_DATE_COLUMNS.fields,
-        ])
-    raise ValueError(f"unknown layout '{layout}'")
-
-
-def _unreadable(layout: str) -> Column:
-    """Whether a line or document is no JSON, or an envelope without its list of records.
+def _parsed(texts: DataFrame, record: T.StructType, layout: str) -> DataFrame:
+    """Lines or documents with their columns; what is no record has ``_broken``, its text, and nothing else.
 
-    A record with a value of another type is marked by the reader too, but can be read.
+    A record is a JSON object. The reader of JSON files would turn other values into rows of
+    nulls and drop an empty list, so files are read as text. A value of another type than its
+    column makes that value null, not the record unreadable.
     """
-    broken = F.col(BROKEN).isNotNull() & F.try_parse_json(BROKEN).isNull()
-    # A broken line has no column at all; Spark asks for one beside that of the broken text.
-    return broken | F.col("records").isNull() if layout == ENVELOPE else broken & F.col(BATCH).isNull()
+    if layout == LINES:
+        shape = [*record.fields, *_LINE_COLUMNS.fields]
+    elif layout == ENVELOPE:
+        shape = [T.StructField("metadata", _METADATA), T.StructField("records", T.ArrayType(record))]
+    else:
+        raise ValueError(f"unknown layout '{layout}'")
+    schema = T.StructType([*shape, T.StructField(BROKEN, T.StringType())])
+    rows = texts.where(F.length(F.btrim(TEXT, F.lit(WHITE_SPACE))) > 0).withColumn(
+        "_json", F.from_json(TEXT, schema, {"columnNameOfCorruptRecord": BROKEN}))
+    # The parser marks a record with a value of another type too; that one is JSON all the same.
+    bad = ~F.btrim(TEXT, F.lit(WHITE_SPACE)).startswith("{") | (F.col(f"_json.{BROKEN}").isNotNull() & F.try_parse_json(TEXT).isNull())
+    if layout == ENVELOPE:
+        bad = bad | F.col("_json.records").isNull() | F.exists("_json.records", lambda r: r.isNull())
+    bad = F.coalesce(bad, F.lit(True))
+    return rows.withColumn(BROKEN, F.when(bad, F.col(TEXT))).select(
+        *[F.when(F.col(BROKEN).isNull(), F.col(f"_json.{f.name}")).alias(f.name) for f in shape],
+        BROKEN, FILE, *_DATE_COLUMNS.fieldNames())
 
 
-def _checked(files: DataFrame, layout: str, on_broken: str) -> DataFrame:
-    if on_broken not in (RAISE, REJECT):
-        raise ValueError(f"on_broken is '{RAISE}' or '{REJECT}', not '{on_broken}'")
-    bad = _unreadable(layout)
+def _records(texts: DataFrame, record: T.StructType, layout: str, on_broken: str) -> DataFrame:
+    if on_broken not in (RAISE, REJECT, KEEP):
+        raise ValueError(f"on_broken is '{RAISE}', '{REJECT}' or '{KEEP}', not '{on_broken}'")
+    rows, further = _parsed(texts, record, layout), [BROKEN] if on_broken == KEEP else []
     if on_broken == REJECT:
-        return files.where(~bad)
-    where = F.concat(F.lit("unreadable text in "), F.col("_metadata.file_path"))
-    return files.where(F.when(bad, F.raise_error(where).cast("boolean")).otherwise(True))
-
-
-def _records(files: DataFrame, record: T.StructType, layout: str, on_broken: str) -> DataFrame:
-    files = _checked(files, layout, on_broken)
+        rows = rows.where(F.col(BROKEN).isNull())
+    elif on_broken == RAISE:
+        where = F.concat(F.lit("unreadable text in "), F.col(FILE))
+        rows = rows.where(F.when(F.col(BROKEN).isNotNull(), F.raise_error(where).cast("boolean")).otherwise(True))
     if layout == ENVELOPE:
-        return _flat(files, record.fieldNames())
-    return files.withColumn(FILE, F.col("_metadata.file_path")).select(
-        *record.fieldNames(), *LANDING_COLUMNS)
+        return _flat(rows, record.fieldNames(), further)
+    return rows.select(*record.fieldNames(), *LANDING_COLUMNS, *further)
 
 
 def read_landing(
@@ -187,50 +187,55 @@ def read_landing(
     """All landed records of an entity with their landing order.
 
     ``days`` (first and last, ``YYYY-MM-DD``) prunes partitions. An entity without files is
-    empty. Plain and gzip files may be mixed. A line or document that is no JSON is an error,
-    or with ``on_broken="reject"`` left to ``read_rejects``.
+    empty. Plain and gzip files may be mixed. A line or document that is no JSON object is an
+    error, with ``on_broken="reject"`` left to ``read_rejects``, or with ``"keep"`` a row with
+    its text in ``_broken``. Blank lines are passed over.
     """
     record = record or raw_schema(source, entity)
-    files = _files(spark, root, source, entity, layout, record)
-    if files is None:
-        plain = [*record.fields, *[
-            T.StructField(c, T.LongType() if c == SEQ else T.StringType()) for c in LANDING_ORDER
-        ], *_DATE_COLUMNS.fields]
-        return _empty(spark, T.StructType(plain))
+    texts = _texts(spark, root, source, entity, layout)
     if days:
-        files = files.where(_day_filter(*days))
-    return _records(files, record, layout, on_broken)
+        texts = texts.where(_day_filter(*days))
+    return _records(texts, record, layout, on_broken)
+
+
+# A stream has to name the columns of the paths, and texts have no other type than text.
+_TEXTS = struct_of("value string")
+_STREAMED_TEXTS = struct_of("value string, year string, month string, day string")
+
 
+def _named(files: DataFrame) -> DataFrame:
+    """Texts with their file and day; a folder may be there without any day."""
+    days = [
+        F.col(f.name) if f.name in files.columns and files.schema[f.name].dataType == f.dataType
+        else (F.col(f.name) if f.name in files.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in _DATE_COLUMNS.fields
+    ]
+    return files.select(F.col("value").alias(TEXT), F.col("_metadata.file_path").alias(FILE), *days)
 
-def _files(
-    spark: SparkSession, root: str, source: str, entity: str, layout: str, record: T.StructType,
-) -> DataFrame | None:
-    """Lines or documents as they are parsed; None where nothing has landed."""
-    reader = spark.read.schema(_file_schema(record, layout)).option("columnNameOfCorruptRecord", BROKEN)
+
+def _texts(spark: SparkSession, root: str, source: str, entity: str, layout: str) -> DataFrame:
+    """Lines or documents as text with their file and day; no rows where nothing has landed."""
+    # An envelope may span lines, so a file is one document there.
+    reader = spark.read.schema(_TEXTS)
     try:
-        # An envelope may span lines, so a file is one document there.
-        return reader.option("multiLine", layout == ENVELOPE).json(entity_folder(root, source, entity))
+        return _named(reader.text(entity_folder(root, source, entity), wholetext=layout == ENVELOPE))
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-    return None
+    return _empty(spark, T.StructType([
+        T.StructField(TEXT, T.StringType()), T.StructField(FILE, T.StringType()), *_DATE_COLUMNS.fields]))
 
 
 def read_rejects(
     spark: SparkSession, root: str, source: str, entity: str, layout: str = LINES,
     days: tuple[str, str] | None = None,
 ) -> DataFrame:
-    """Text that ``read_landing`` cannot read: file, landing day and the text itself.
-
-    An envelope that is JSON but holds no list of records is there with a null text.
-    """
-    files = _files(spark, root, source, entity, layout, raw_schema(source, entity))
-    if files is None:
-        return _empty(spark, T.StructType([T.StructField(FILE, T.StringType()), *_DATE_COLUMNS.fields, T.StructField("text", T.StringType())]))
+    """Text that ``read_landing`` cannot read as records: file, landing day and the text itself."""
+    texts = _texts(spark, root, source, entity, layout)
     if days:
-        files = files.where(_day_filter(*days))
-    return files.where(_unreadable(layout)).select(
-        F.col("_metadata.file_path").alias(FILE), "year", "month", "day", F.col(BROKEN).alias("text"))
+        texts = texts.where(_day_filter(*days))
+    return _parsed(texts, raw_schema(source, entity), layout).where(F.col(BROKEN).isNotNull()).select(
+        FILE, *_DATE_COLUMNS.fieldNames(), F.col(BROKEN).alias("text"))
 
 
 def _day_filter(first: str, last: str) -> Column:
@@ -250,19 +255,18 @@ def stream_landing(
     An entity without files is a stream without rows until the first ones land.
     """
     record = record or raw_schema(source, entity)
-    reader = spark.readStream.schema(_file_schema(record, layout)).option("multiLine", layout == ENVELOPE)
-    reader = reader.option("columnNameOfCorruptRecord", BROKEN)
+    reader = spark.readStream.schema(_STREAMED_TEXTS)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     folder = entity_folder(root, source, entity)
     try:
-        files = reader.json(folder)
+        files = reader.text(folder, wholetext=layout == ENVELOPE)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         _empty(spark, record).coalesce(1).write.mode("append").json(folder)     # makes the folder
-        files = reader.json(folder)
-    return _records(files, record, layout, on_broken)
+        files = reader.text(folder, wholetext=layout == ENVELOPE)
+    return _records(_named(files), record, layout, on_broken)
 
 
 def list_batches(spark: SparkSession, root: str, source: str, entity: str) -> DataFrame:

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from datetime import datetime, timezone
+
+from pyspark.sql import DataFrame, functions as F
 
 from tallyweave.catalogue.adapters import AS_OF, COMPANY_NAMES, MAPPED, o_time, raw, rows_of, spark_sql, table
 from tallyweave.catalogue.registry import query
 from tallyweave.operators import mapping
+from tallyweave.operators.incremental import ExtractState
 from tallyweave.schemas import struct_of
 from tallyweave.session import fresh_folder
 from tallyweave.sources.curated import read_curated, write_curated
+from tallyweave.sources.ingest import MAX_RECORD, RUN_END, ingest, ingestions
 from tallyweave.sources.landing import (
     BATCH, ENVELOPE, LINES, broken_lists as broken_lists_of, entity_folder, envelopes, landed_batches, list_batches,
     read_landing, read_rejects, unwrap_list as unwrap_list_of, write_envelopes, write_landing,
@@ -221,3 +225,81 @@ def broken_lists(spark, folder):
     good = unwrap_list_of(bodies, "body", "stripe", "charges", on_broken="reject")
     return good.select(F.lit("good").alias("kind"), F.col("record.id").alias("value")).unionByName(
         broken_lists_of(bodies, "body", "stripe").select(F.lit("broken").alias("kind"), F.col("body").alias("value")))
+
+
+_ODD = ("123", "null", '"text"', "[]", "true", '[{"id":"ch_1"}]')
+_ODD_VALUE = "case o_orderkey % 9 " + " ".join(f"when {k} then '{v}'" for k, v in enumerate(_ODD))
+
+
+@query("odd_lines", f"""
+    select case when o_orderkey % 9 < {len(_ODD)} then 'broken' else 'good' end as kind,
+      {_ODD_VALUE} when {len(_ODD)} then null else 'ch_' || cast(o_orderkey as varchar) end as value from orders""")
+def odd_lines(spark, folder):
+    """Lines that are JSON but no object are rejects; an empty object is a record without values."""
+    texts = spark_sql(spark, folder, f"""
+        select {_ODD_VALUE} when {len(_ODD)} then '{{}}' else concat('{{"id":"ch_', o_orderkey, '"}}') end as value from {{orders}}""")
+    return _good_and_broken(spark, _land_text(spark, texts, LINES), LINES)
+
+
+# -- ingest: list responses to landed records, with their report and state ----------------------
+
+_START, _END = datetime(2026, 1, 1, tzinfo=timezone.utc), datetime(2026, 1, 1, 0, 5, tzinfo=timezone.utc)
+
+
+def _ingested(spark, pages: DataFrame, source: str, entity: str, mark: str, key: str, *columns: str) -> DataFrame:
+    """Landed records, the note on the batch, and the state, as rows of (kind, value, detail, n)."""
+    root = fresh_folder(spark, "landing")
+    state = ExtractState(spark, f"{root}/state")
+    result = ingest(pages, "body", root, source, entity, state, "b1", _START, _END, mark)
+    landed = read_landing(spark, root, source, entity).select(
+        F.lit("landed").alias("kind"), F.col(key).alias("value"), F.concat_ws("|", *columns).alias("detail"), F.lit(None).cast("long").alias("n"))
+    note = ingestions(spark, root).select(F.lit("note").alias("kind"), F.col("status").alias("value"), F.concat_ws(
+        "|", F.col("records_transformed").cast("string"), F.lit(str(result.broken)), F.lit(str(result.pages))).alias("detail"),
+        F.col("records_extracted").alias("n"))
+    now = state.latest().select(
+        F.lit("state").alias("kind"), F.substring("last_extracted_timestamp", 1, 19).alias("value"), F.col("last_cursor").alias("detail"),
+        F.col("records_synced_last_run").alias("n"))
+    return landed.unionByName(note).unionByName(now)
+
+
+_CHARGE = f"""select *, floor(o_orderkey / 1000)::bigint as page, {_RAW_ERRORS} as errors from orders"""
+
+
+@query("ingest_billing", f"""
+    with c as ({_CHARGE}), k as (select * from c where page % 3 <> 0)
+    select 'landed' as kind, case when o_orderkey % 13 <> 0 then 'ch_' || cast(o_orderkey as varchar) end as value,
+      concat_ws('|', case when o_orderkey % 17 = 0 then 'lots' else cast(cast(round(o_totalprice * 100) as bigint) as varchar) end,
+        case when errors = '' then {o_time('cast(1704067200 + o_orderkey % 100000 as varchar)')}
+          when o_orderkey % 23 = 0 then 'never' else cast(1704067200 + o_orderkey % 100000 as varchar) end) as detail, null::bigint as n
+    from k
+    union all select 'note', 'COMPLETED', cast(count(*) filter (where errors = '') as varchar) || '|' || cast(
+      (select count(distinct page) from c where page % 3 = 0) as varchar) || '|' || cast((select count(distinct page) from c) as varchar), count(*) from k
+    union all select 'state', strftime(make_timestamp(max(case when o_orderkey % 23 <> 0 then 1704067200 + o_orderkey % 100000 end)::bigint * 1000000), '%Y-%m-%dT%H:%M:%S'),
+      max(case when o_orderkey % 13 <> 0 then 'ch_' || cast(o_orderkey as varchar) end), count(*) from k""")
+def ingest_billing(spark, folder):
+    """Pages of a thousand charges, some of them faulty; every third page is cut off."""
+    charges = spark_sql(spark, folder, _RAW_JSON)
+    page = F.floor(F.col("o_orderkey") / 1000)
+    pages = charges.groupBy(page.alias("page")).agg(F.concat_ws(",", F.collect_list("body")).alias("items"))
+    body = F.when(F.col("page") % 3 == 0, F.concat(F.lit('{"object":"list","da'), F.col("page").cast("string"))).otherwise(
+        F.concat(F.lit('{"object":"list","has_more":true,"data":['), "items", F.lit("]}")))
+    return _ingested(spark, pages.select(body.alias("body")), "stripe", "charges", MAX_RECORD, "id", "amount", "created")
+
+
+@query("ingest_crm", """
+    with k as (select *, s_suppkey % 4 <> 0 as sound, 'con_' || cast(s_suppkey as varchar) as id from supplier)
+    select 'landed' as kind, id as value, case when sound then s_name || '|2024-01-02T00:00:00Z' else '2024-01-02 00:00:00' end as detail, null::bigint as n
+    from k
+    union all select 'note', 'COMPLETED', cast(count(*) filter (where sound) as varchar) || '|0|' || cast(
+      count(distinct floor(s_suppkey / 50)) as varchar), count(*) from k
+    union all select 'state', '2026-01-01T00:05:00', max(id), count(*) from k""")
+def ingest_crm(spark, folder):
+    """Pages of contacts, every fourth without its last name; the next run starts where this one ends."""
+    name = F.when(F.col("s_suppkey") % 4 != 0, F.col("s_name"))
+    day = F.lit("2024-01-02 00:00:00")
+    record = F.struct(
+        F.struct(F.lit("Contact").alias("type")).alias("attributes"), F.concat(F.lit("con_"), F.col("s_suppkey").cast("string")).alias("Id"),
+        name.alias("LastName"), day.alias("CreatedDate"), day.alias("LastModifiedDate"))
+    pages = table(spark, folder, "supplier").groupBy(F.floor(F.col("s_suppkey") / 50).alias("page")).agg(F.collect_list(record).alias("records"))
+    bodies = pages.select(F.to_json(F.struct(F.lit(True).alias("done"), "records")).alias("body"))
+    return _ingested(spark, bodies, "salesforce", "contacts", RUN_END, "Id", "LastName", "LastModifiedDate")

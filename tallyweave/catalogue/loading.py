@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import uuid
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
 from tallyweave.catalogue.adapters import (
-    AS_OF, CUSTOMER_NAMES, MAPPED, TRANSACTION_NAMES, raw, spark_sql, table,
+    AS_OF, CUSTOMER_NAMES, MAPPED, TRANSACTION_NAMES, raw, rows_of, spark_sql, table,
 )
 from tallyweave.catalogue.registry import query
 from tallyweave.catalogue.resolved import FACTS, PROFILES, all_tables
@@ -20,8 +21,8 @@ from tallyweave.plans.run import run
 from tallyweave.schemas import BILLING, CRM
 from tallyweave.session import fresh_folder
 from tallyweave.sources.curated import write_curated
-from tallyweave.sources.landing import write_landing
-from tallyweave.streaming.sync import sync
+from tallyweave.sources.landing import entity_folder, write_landing
+from tallyweave.streaming.sync import rejects as rejects_of, sync
 
 NOW = datetime(2026, 1, 1, tzinfo=timezone.utc)
 # Two loads that overlap by one year: what was loaded before, and the batch.
@@ -39,9 +40,8 @@ def _sides(spark, folder) -> tuple[DataFrame, DataFrame]:
     return spark_sql(spark, folder, _OLD), spark_sql(spark, folder, _NEW)
 
 
-def _warehouse(spark, buckets: int = 16, broadcast_keys: int | None = None) -> Warehouse:
+def _warehouse(spark, buckets: int = 16, **extra) -> Warehouse:
     name = f"tallyweave_{uuid.uuid4().hex[:12]}"
-    extra = {} if broadcast_keys is None else {"broadcast_keys": broadcast_keys}
     return Warehouse(spark, name, fresh_folder(spark, name), buckets=buckets, **extra)
 
 
@@ -260,3 +260,123 @@ def reused_batch_id(spark, folder):
     for part in (day < "2000-01-01", day >= "2000-01-01"):
         warehouse.upsert("transactions", mapped.where(part), "same", now=NOW)
     return warehouse.audit().select("rows_inserted", "rows_updated")
+
+
+# -- two versions of everything, the newer one landing first ----------------------------------
+
+_ENTITIES = (
+    *_LANDED, ((BILLING, "charges"), "billing_charges", "id"), ((CRM, "opportunities"), "crm_opportunities", "Id"),
+    ((CRM, "orders"), "crm_orders", "Id"), ((BILLING, "subscriptions"), "billing_subscriptions", "id"),
+)
+# What the older version says instead; customers and contacts are plain repeats.
+_OLDER = {
+    "billing_charges": {"status": "older", "amount": "1"}, "crm_opportunities": {"Amount": "2"}, "crm_orders": {"TotalAmount": "3"},
+    "billing_subscriptions": {"status": "older"}, "crm_accounts": {"Name": "older", "AnnualRevenue": "4"},
+}
+_ALL_TABLES = f"""
+    select 'customers' as dataset, unified_customer_id as id, full_name as label, null::double as amount from ({_BY_KEY})
+    union all select 'transactions', unified_transaction_id, status, amount from ({FACTS})
+      qualify row_number() over (partition by unified_transaction_id order by round(amount * 100) desc,
+        case status when 'succeeded' then 2 when 'failed' then 1 else 0 end desc) = 1
+    union all select 'subscriptions', unified_subscription_id, status, null from ({MAPPED['billing_subscriptions']})
+      where source_customer_id is not null
+    union all select 'companies', unified_account_id, company_name, annual_revenue from ({MAPPED['crm_companies']})"""
+
+
+def _land_version(spark, folder, root: str, batch: str, day: int) -> None:
+    for entity, adapter, key in _ENTITIES:
+        rows = raw(spark, folder, adapter)
+        number = F.substring(key, 5, 20).try_cast("bigint")
+        if adapter == "crm_opportunities":      # keys stand in the table several times: the highest amount is the last
+            won = F.when(F.col("IsWon"), 2).when(F.col("IsClosed"), 1).otherwise(0)
+            number = F.round(F.coalesce("Amount", F.lit(0)) * 100).cast("bigint") * 3 + won
+        rows = rows.withColumn("_number", F.coalesce(number, F.lit(0)))
+        if batch == "older":
+            rows = rows.withColumns({n: F.lit(v).cast(rows.schema[n].dataType) for n, v in _OLDER.get(adapter, {}).items()})
+        at = F.timestamp_micros(F.lit((1704067200 + 86400 * day) * 1_000_000) + F.col("_number"))
+        write_landing(rows.withColumn("_at", at).drop("_number"), root, *entity, batch, F.col("_at"))
+
+
+def _all_tables(warehouse: Warehouse) -> DataFrame:
+    columns = {
+        "customers": ("unified_customer_id", "full_name", None), "transactions": ("unified_transaction_id", "status", "amount"),
+        "subscriptions": ("unified_subscription_id", "status", None), "companies": ("unified_account_id", "company_name", "annual_revenue"),
+    }
+    frames = [
+        warehouse.read(name).select(
+            F.lit(name).alias("dataset"), F.col(key).alias("id"), F.col(label).alias("label"),
+            (F.col(amount) if amount else F.lit(None)).cast("double").alias("amount"))
+        for name, (key, label, amount) in columns.items()
+    ]
+    return reduce(DataFrame.unionByName, frames)
+
+
+@query("sync_late_versions", _ALL_TABLES)
+def sync_late_versions(spark, folder):
+    """All entities in two versions, the older one landing and loading after the newer one."""
+    warehouse, root, progress = _warehouse(spark, buckets=4), fresh_folder(spark, "landing"), fresh_folder(spark, "progress")
+    for batch, day in (("newer", 1), ("older", 0)):
+        _land_version(spark, folder, root, batch, day)
+        sync(spark, root, warehouse, progress, AS_OF)
+    return _all_tables(warehouse)
+
+
+@query("run_late_versions", _ALL_TABLES)
+def run_late_versions(spark, folder):
+    """The same landings in one run; what the tables refuse is quarantined, the rest loaded."""
+    warehouse, root = _warehouse(spark, buckets=4), fresh_folder(spark, "landing")
+    for batch, day in (("newer", 1), ("older", 0)):
+        _land_version(spark, folder, root, batch, day)
+    run(spark, root, warehouse, gate=False, batch_id="run", now=NOW, on_broken="reject")
+    return _all_tables(warehouse)
+
+
+_BROKEN_CHARGE = "cast(substr(id, 4) as bigint) % 9"
+
+
+@query("quarantine_replay", f"""
+    select id as value, 'loaded' as kind from ({rows_of('billing_charges')}) where {_BROKEN_CHARGE} <> 4
+    union all select 'held ' || cast(count(*) as varchar), 'mended' from ({rows_of('billing_charges')}) where {_BROKEN_CHARGE} = 3
+    union all select 'held ' || cast(count(*) as varchar), 'open' from ({rows_of('billing_charges')}) where {_BROKEN_CHARGE} = 4""")
+def quarantine_replay(spark, folder):
+    """Charges of which every ninth line is cut off and every ninth is a list; the former are mended and land again."""
+    root, progress, warehouse = fresh_folder(spark, "landing"), fresh_folder(spark, "progress"), _warehouse(spark, buckets=4)
+    charges = raw(spark, folder, "billing_charges")
+    sound = charges.select("id", F.to_json(F.struct(*charges.columns)).alias("text"))
+    kind = F.substring("id", 4, 20).cast("bigint") % 9
+    lines = sound.select("id", F.when(kind == 3, F.expr("left(text, length(text) - 5)")).when(
+        kind == 4, F.concat(F.lit("["), "text", F.lit("]"))).otherwise(F.col("text")).alias("value"))
+    lines.select("value").write.text(f"{entity_folder(root, BILLING, 'charges')}/year=2024/month=05/day=12")
+    sync(spark, root, warehouse, progress, AS_OF)
+    held = rejects_of(spark, progress)
+    cut_off = held.rows().where(~F.col("text").startswith("[")).withColumn("id", F.regexp_extract("text", '"id":"([^"]+)"', 1))
+    held.replay(cut_off.select("key", "id").join(sound, "id").select("key", "text"), root)
+    sync(spark, root, warehouse, progress, AS_OF)
+    counts = held.rows().where("reason = 'unreadable'").groupBy("is_mended").agg(F.count("*").alias("n"))
+    return warehouse.read("transactions").select(F.col("source_transaction_id").alias("value"), F.lit("loaded").alias("kind")).unionByName(
+        counts.select(F.concat_ws(" ", F.lit("held"), F.col("n").cast("string")).alias("value"),
+                      F.when(F.col("is_mended"), "mended").otherwise("open").alias("kind")))
+
+
+_MONTHS = f"""select unified_transaction_id as id, amount, substr(transaction_date, 1, 7) as month from ({MAPPED['billing_charges']})"""
+
+
+@query("bounded_rewrite", f"""
+    with c as ({_MONTHS}), last as (select max(month) as m from c where month < (select max(month) from c))
+    select id, case when month = m then amount + 1 else amount end as amount, month = m as is_rewritten from c, last""")
+def bounded_rewrite(spark, folder):
+    """Charges kept by month; a batch that changes one month rewrites the files of that month alone."""
+    warehouse = _warehouse(spark, buckets=2, monthly=True)
+    charges = write_curated(mapping.billing_charges(raw(spark, folder, "billing_charges"), AS_OF), fresh_folder(spark, "curated"), "transactions", json=False)
+    warehouse.upsert("transactions", charges, "first", now=NOW)
+    stored_rows = spark.table(f"{warehouse.database}.fact_transactions")
+    file = F.col("_metadata.file_path")
+    before = write_curated(stored_rows.select(file.alias("file")).distinct(), fresh_folder(spark, "files"), "companies", json=False)
+    month = F.substring("transaction_date", 1, 7)
+    newest = charges.agg(F.max(month)).scalar()
+    chosen = charges.where(month < newest).agg(F.max(month)).scalar()
+    warehouse.upsert("transactions", charges.where(month == chosen).withColumn("amount", F.col("amount") + 1), "second", now=NOW)
+    spark.catalog.refreshTable(f"{warehouse.database}.fact_transactions")
+    after = spark.table(f"{warehouse.database}.fact_transactions").withColumn("file", file)
+    return after.join(before.withColumn("is_old", F.lit(True)), "file", "left").select(
+        F.col("unified_transaction_id").alias("id"), "amount", F.col("is_old").isNull().alias("is_rewritten"))

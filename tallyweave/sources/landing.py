@@ -17,7 +17,7 @@ from tallyweave.schemas import BILLING, raw_schema, struct_of
 
 LINES, ENVELOPE = "lines", "envelope"
 # What happens to text that is no record: an error, left out and read by the functions for
-# rejects, or kept as a row that has nothing but its text and place.
+# rejects, or kept as a row with its text, to be told apart by it.
 RAISE, REJECT, KEEP = "raise", "reject", "keep"
 BROKEN, TEXT = "_broken", "_text"
 BATCH, EXTRACTED, SEQ, FILE = "_batch_id", "_extracted_at", "_seq", "_file"
@@ -141,7 +141,7 @@ def _flat(documents: DataFrame, record_fields: Sequence[str], further: Sequence[
 
 
 def _parsed(texts: DataFrame, record: T.StructType, layout: str) -> DataFrame:
-    """Lines or documents with their columns; what is no record has ``_broken``, its text, and nothing else.
+    """Lines or documents with their columns; what is no record has ``_broken``, its text.
 
     A record is a JSON object. The reader of JSON files would turn other values into rows of
     nulls and drop an empty list, so files are read as text. A value of another type than its
@@ -161,9 +161,11 @@ def _parsed(texts: DataFrame, record: T.StructType, layout: str) -> DataFrame:
     if layout == ENVELOPE:
         bad = bad | F.col("_json.records").isNull() | F.exists("_json.records", lambda r: r.isNull())
     bad = F.coalesce(bad, F.lit(True))
-    return rows.withColumn(BROKEN, F.when(bad, F.col(TEXT))).select(
-        *[F.when(F.col(BROKEN).isNull(), F.col(f"_json.{f.name}")).alias(f.name) for f in shape],
-        BROKEN, FILE, *_DATE_COLUMNS.fieldNames())
+    columns = {f.name: F.col(f"_json.{f.name}") for f in shape}
+    if layout == ENVELOPE:
+        columns["records"] = F.when(~bad, columns["records"])
+    return rows.select(
+        *[c.alias(n) for n, c in columns.items()], F.when(bad, F.col(TEXT)).alias(BROKEN), FILE, *_DATE_COLUMNS.fieldNames())
 
 
 def _records(texts: DataFrame, record: T.StructType, layout: str, on_broken: str) -> DataFrame:

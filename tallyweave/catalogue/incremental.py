@@ -6,13 +6,13 @@ from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
 
-from tallyweave.catalogue.adapters import o_time, raw, rows_of, table
+from tallyweave.catalogue.adapters import o_time, raw, rows_of, spark_sql, table
 from tallyweave.catalogue.registry import query
 from tallyweave.operators.incremental import (
-    advance_watermark, created_since as created_since_in, cursor_page as cursor_page_of, cursor_range,
+    advance_watermark, created_since as created_since_in, cursor_page as cursor_page_of, cursor_range, cursor_ranges as cursor_ranges_of,
     effective_watermark as effective_watermark_of, extract_summary as extract_summary_of,
     incremental_read as incremental_read_of, latest_state, live_state, next_cursor as next_cursor_of,
-    page_completeness as page_completeness_of,
+    page_chain as page_chain_of, page_completeness as page_completeness_of,
 )
 from tallyweave.sources.landing import BATCH, EXTRACTED, FILE
 
@@ -179,3 +179,50 @@ def effective_watermark(spark, folder):
 def next_watermark(spark, folder):
     return advance_watermark(raw(spark, folder, "billing_charges"), "created").select(
         F.date_format("next_watermark", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("next_watermark"))
+
+
+# Pages of a hundred events by type, numbered per chain. ``error`` lacks its third page, the
+# second half of ``click`` runs in a circle, and the second page of ``view`` names two next ones.
+_RANKED = """
+    select chain, row_number() over (partition by chain order by page) - 1 as r, count(*) over (partition by chain) - 1 as m
+    from (select distinct event_type as chain, cast(floor(event_id / 100) as bigint) as page from {events})"""
+
+
+@query("page_chain", f"""
+    with p as ({_RANKED.replace("{events}", "events")})
+    select chain, case when r > 0 then '/q/' || cast(r as varchar) end as locator,
+      case when chain = 'error' and r > 2 or chain = 'click' and r >= (m + 1) // 2 then null else r end as page_number,
+      case when chain = 'error' and r > 2 then 'orphaned' when chain = 'click' and r >= (m + 1) // 2 then 'cyclic' else 'chained' end as state,
+      chain = 'view' and r = 1 as is_fork
+    from p where not (chain = 'error' and r = 2)
+    union all select 'view', '/q/other', 2, 'chained', false""")
+def page_chain(spark, folder):
+    """Chains with a gap, a loop and a fork: every page gets its number or what is wrong with it."""
+    ranked = spark_sql(spark, folder, _RANKED)
+    r, m, chain = F.col("r"), F.col("m"), F.col("chain")
+    half = F.floor((m + 1) / 2)
+    following = F.when((chain == "click") & (r == half - 1), None).when((chain == "click") & (r == m), half).when(r < m, r + 1)
+    pages = ranked.where(~((chain == "error") & (r == 2))).select(
+        "chain", F.when(r > 0, F.concat(F.lit("/q/"), r.cast("string"))).alias("locator"),
+        F.concat(F.lit("/q/"), following.cast("bigint").cast("string")).alias("next_locator"))
+    other = spark.createDataFrame([("view", "/q/1", "/q/other"), ("view", "/q/other", None)], pages.schema)
+    return page_chain_of(pages.unionByName(other))
+
+
+@query("cursor_ranges", """
+    select 'events' as dataset, 16 as ranges, count(*) as n, true as is_once, true as is_even from events
+    union all select 'customer', 7, count(*), true, true from customer""")
+def cursor_ranges(spark, folder):
+    """Ranges of numbers and of texts: every key is in one of them, and none is a tenth above the others."""
+    def measured(rows, key, ranges):
+        cuts = cursor_ranges_of(rows, key, ranges)
+        inside = (F.col("after").isNull() | (F.col(key) > F.col("after"))) & (F.col("upto").isNull() | (F.col(key) <= F.col("upto")))
+        per_key = rows.join(F.broadcast(cuts), inside, "left").groupBy(key).agg(F.count("range").alias("hits"), F.min("range").alias("range"))
+        sizes = per_key.groupBy("range").agg(F.count(F.lit(1)).alias("n"), F.max("hits").alias("most"), F.min("hits").alias("least"))
+        return sizes.agg(
+            F.count(F.lit(1)).cast("int").alias("ranges"), F.sum("n").alias("n"), ((F.max("most") == 1) & (F.min("least") == 1)).alias("is_once"),
+            (F.max("n") <= 1.1 * F.sum("n") / F.lit(ranges) + 1).alias("is_even"))
+
+    events = measured(table(spark, folder, "events").select("event_id"), "event_id", 16)
+    names = measured(table(spark, folder, "customer").select(F.concat(F.lit("cus_"), F.col("c_custkey").cast("string")).alias("id")), "id", 7)
+    return events.select(F.lit("events").alias("dataset"), "*").unionByName(names.select(F.lit("customer").alias("dataset"), "*"))

@@ -12,6 +12,7 @@ from tallyweave.catalogue.adapters import (
 from tallyweave.catalogue.registry import query
 from tallyweave.catalogue.resolved import FACTS, PROFILES, all_tables, customer_rows
 from tallyweave.operators import mapping
+from tallyweave.operators.quality import gate_verdicts as gate_verdicts_of
 from tallyweave.operators.quality import (
     ROW_RULES, check_rows, error_sample as error_sample_of, null_counts as null_counts_of,
     quality_alerts as quality_alerts_of, quality_reports, row_is_valid, storage_rules,
@@ -153,3 +154,36 @@ def valid_by_table(spark, folder):
             F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("dataset"), "is_valid", "n")
 
     return reduce(DataFrame.unionByName, [count(n, t) for n, t in all_tables(spark, folder).items()])
+
+
+_LONG = {"phone": ("c_custkey % 7 = 0", 64), "billing_city": ("c_custkey % 5 = 0", 128), "preferred_currency": ("c_custkey % 3 = 0", 8)}
+
+
+@query("storage_faults", f"""
+    select 'cus_' || cast(c_custkey as varchar) as id, concat_ws('; ',
+      case when c_custkey % 11 = 0 then 'source_id is required' end,
+      {", ".join(f"case when {rule} then '{name} is longer than {n}' end" for name, (rule, n) in sorted(
+          _LONG.items(), key=lambda x: ["phone", "billing_city", "preferred_currency"].index(x[0])))}) as broken
+    from customer""")
+def storage_faults(spark, folder):
+    """Customers with values one character too long, just long enough, or missing: each row names what it breaks."""
+    rows = mapping.billing_customers(raw(spark, folder, "billing_customers"), AS_OF)
+    number = F.substring("stripe_customer_id", 5, 20).cast("bigint")
+    for name, divisor in (("phone", 7), ("billing_city", 5), ("preferred_currency", 3)):
+        limit = _LONG[name][1]
+        rows = rows.withColumn(name, F.when(number % divisor == 0, F.repeat(F.lit("x"), F.lit(limit + 1))).otherwise(F.repeat(F.lit("x"), F.lit(limit))))
+    rows = rows.withColumn("source_id", F.when(number % 11 != 0, F.col("source_id")))
+    return check_rows(rows, storage_rules("dim_customers")).select(
+        F.col("stripe_customer_id").alias("id"), F.array_join("failed_rules", "; ").alias("broken"))
+
+
+@query("gate_verdicts", f"""
+    with r as (select *, row_number() over () as at from (
+      {" union all ".join(f"select {k} as k, * from ({_report(n, 99.5)})" for k, n in enumerate(_TABLES))})),
+    f as (select min(k) as first from r where not passed_threshold)
+    select dataset_name, quality_score_percent,
+      case when k > first then 'not reached' when k = first then 'stopped' else 'passed' end as verdict from r, f""")
+def gate_verdicts(spark, folder):
+    """The gate as rows, with the pass mark set so high that it stops somewhere."""
+    return gate_verdicts_of(quality_reports(
+        [(REPORT_NAMES[n], t, ROW_RULES[n]) for n, t in all_tables(spark, folder).items()], threshold=99.5))

@@ -6,10 +6,11 @@ from collections.abc import Sequence
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from tallyweave.functions.times import ISO_FORMAT, parse_time
 from tallyweave.schemas import EXTRACT_STATE
+from tallyweave.session import fresh_folder
 from tallyweave.sources.landing import BATCH, EXTRACTED, FILE
 
 # -- incremental reads ---------------------------------------------------------
@@ -99,6 +100,94 @@ def page_completeness(pages: DataFrame) -> DataFrame:
     )
 
 
+#: What a page is in its chain: reached from the first page, after a gap, or on or behind a loop.
+CHAINED, ORPHANED, CYCLIC = "chained", "orphaned", "cyclic"
+
+
+def page_chain(pages: DataFrame) -> DataFrame:
+    """The place of every landed page in its chain: ``chain``, ``locator``, ``page_number``, ``state``, ``is_fork``.
+
+    ``pages`` has ``chain, locator, next_locator``, the first page of a chain with a null
+    locator. Numbers start at 0 and are null for pages that the first one does not lead to.
+    ``is_fork`` marks a page that names several next ones, as when it was fetched twice and the
+    source had moved on. A page named by several counts from the lowest of them. Repeated rows
+    are one page.
+
+    Places are found by pointer jumping: each page points to the one before it, and with every
+    round to one twice as far, so the rounds grow with the logarithm of the longest chain. A
+    round is one join on the page, stored in the shared folder.
+    """
+    start = ""      # a locator is never empty text
+    links = pages.select("chain", F.coalesce("locator", F.lit(start)).alias("locator"), "next_locator").distinct()
+    own = links.groupBy("chain", "locator").agg((F.count("next_locator") > 1).alias("is_fork"))
+    before = links.where(F.col("next_locator").isNotNull()).groupBy("chain", F.col("next_locator").alias("locator")).agg(
+        F.min("locator").alias("to"))
+    nodes = own.join(before, ["chain", "locator"], "left").withColumn(
+        "to", F.when(F.col("locator") != start, F.col("to")))       # nothing stands before the first page
+    current = _written(nodes.select(
+        "chain", "locator", "is_fork", "to", F.when(F.col("to").isNotNull(), 1).otherwise(0).cast("long").alias("steps"),
+        F.col("locator").alias("head")), "chain")
+    # Pages of the longest chain: after that many steps, only a loop is still on its way.
+    longest = current.groupBy("chain").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).head()[0] or 0
+    for _ in range(max(1, longest).bit_length()):
+        there = current.select("chain", F.col("locator").alias("to"), F.col("to").alias("_to"), F.col("steps").alias("_steps"), F.col("head").alias("_head"))
+        moved = current.join(there, ["chain", "to"], "left")
+        jumps = F.col("to").isNotNull()
+        # A page that is pointed to but has not landed heads nothing: its follower does.
+        current = _written(moved.select(
+            "chain", "locator", "is_fork", F.col("_to").alias("to"),
+            (F.col("steps") + F.when(jumps, F.coalesce("_steps", F.lit(0))).otherwise(0)).alias("steps"),
+            F.when(jumps, F.col("_head")).otherwise(F.col("head")).alias("head")), "chain")
+    state = F.when(F.col("to").isNotNull(), CYCLIC).when(F.col("head") == start, CHAINED).otherwise(ORPHANED)
+    return current.select(
+        "chain", F.nullif("locator", F.lit(start)).alias("locator"),
+        F.when(state == CHAINED, F.col("steps")).alias("page_number"), state.alias("state"), "is_fork")
+
+
+def _written(df: DataFrame, label: str) -> DataFrame:
+    folder = fresh_folder(df.sparkSession, label)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def cursor_ranges(df: DataFrame, key: str, ranges: int) -> DataFrame:
+    """Cursor ranges of like size over a table: ``range``, ``after``, ``upto`` (null: no bound).
+
+    ``cursor_range`` reads one of them, so that a table can be extracted by ``ranges`` readers
+    at once. Only the key column is read. Numbers go through a quantile sketch; other keys are
+    sorted and counted range by range, as a sketch cannot hold them. A key that fills more than
+    a range leaves fewer ranges. An empty table is one range without bounds.
+    """
+    keys = df.select(F.col(key).alias("key")).where(F.col("key").isNotNull())
+    shares = [k / ranges for k in range(1, ranges)]
+    if not shares:
+        bounds = keys.limit(0)
+    elif isinstance(df.schema[key].dataType, T.NumericType):
+        bounds = keys.agg(F.percentile_approx("key", shares, 100 * ranges).alias("cuts")).select(F.explode("cuts").alias("key"))
+    else:
+        bounds = _cuts(keys, ranges)
+    # As many rows as there are ranges.
+    number = Window.orderBy("key")
+    cuts = bounds.distinct().withColumns({
+        "range": F.row_number().over(number) - 1, "after": F.lag("key").over(number)}).withColumnRenamed("key", "upto")
+    last = cuts.agg(F.count(F.lit(1)).cast("int").alias("range"), F.max("upto").alias("after")).withColumn(
+        "upto", F.lit(None).cast(df.schema[key].dataType))
+    return cuts.select("range", "after", "upto").unionByName(last)
+
+
+def _cuts(keys: DataFrame, ranges: int) -> DataFrame:
+    """The keys at like distances in sorted order."""
+    part = _written(keys.repartitionByRange("key").withColumn("part", F.spark_partition_id()), "keys")
+    sizes = part.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)     # a row per partition
+    starts = sizes.withColumns({"start": F.coalesce(F.sum("n").over(before), F.lit(0)), "total": F.sum("n").over(Window.partitionBy())})
+    place = F.col("start") + F.row_number().over(Window.partitionBy("part").orderBy("key"))
+    ranked = part.join(starts.drop("n"), "part").withColumn("place", place)
+    # The last key of every range but the last.
+    ends = F.floor(F.col("place") * ranges / F.col("total")) > F.floor((F.col("place") - 1) * ranges / F.col("total"))
+    return ranked.where(ends & (F.col("place") < F.col("total"))).select("key")
+
+
 def extract_summary(landed: DataFrame, source: str, entity: str) -> DataFrame:
     """Records, files, first and last extraction and seconds between them, per batch.
 

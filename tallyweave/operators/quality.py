@@ -6,7 +6,7 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tallyweave.functions.numbers import round2
 from tallyweave.functions.times import is_iso_time
@@ -237,6 +237,21 @@ def quality_gate(reports: DataFrame) -> None:
         raise QualityGateError(f"Data Quality Gate Failed for {name}: {score:.1f}%")
 
 
+def gate_verdicts(reports: DataFrame) -> DataFrame:
+    """What the gate makes of each report: ``dataset_name``, ``quality_score_percent``, ``verdict``.
+
+    ``passed``; ``stopped`` for the first dataset, in report order, that does not pass; and
+    ``not reached`` for those behind it.
+    """
+    at = F.monotonically_increasing_id()
+    ordered = reports.select("dataset_name", "quality_score_percent", "passed_threshold", at.alias("at"))
+    stops = F.min(F.when(~F.col("passed_threshold"), F.col("at"))).over(Window.partitionBy())     # a row per dataset
+    behind = F.col("at") > F.col("first")
+    return ordered.withColumn("first", stops).select(
+        "dataset_name", "quality_score_percent",
+        F.when(behind, "not reached").when(F.col("at") == F.col("first"), "stopped").otherwise("passed").alias("verdict"))
+
+
 def quality_alerts(reports: DataFrame) -> DataFrame:
     """A warning row per dataset that does not pass; delivery is up to the caller."""
     # Title and summary of a warning.

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import functools
 import math
-from collections import defaultdict
 from typing import NamedTuple
 
 import sentencepiece
@@ -53,26 +52,28 @@ class Lattice:
     def __init__(self, vocabulary: Vocabulary, scores: list[float] | None = None):
         scores = vocabulary.scores if scores is None else scores
         self.scores, self.bytes_at = scores, vocabulary.bytes_at
-        self.known: dict[str, tuple[int, float]] = {}
-        lengths: defaultdict = defaultdict(set)
+        # Every ending of a piece; that of a whole piece has its number and score, another one nothing.
+        self.endings: dict[str, tuple[int, float] | tuple[()]] = {}
         for number, piece in enumerate(vocabulary.pieces[: vocabulary.bytes_at[0]]):
-            self.known[piece] = (number, scores[number])
-            lengths[piece[-1]].add(len(piece))
-        self.lengths = {last: sorted(x) for last, x in lengths.items()}
+            for start in range(1, len(piece)):
+                self.endings.setdefault(piece[start:], ())
+            self.endings[piece] = (number, scores[number])
 
     def arcs(self, text: str, end: int) -> list[tuple[int, int | bytes, float]]:
-        """Start, piece and score of each piece of ``text`` that ends at ``end``.
+        """Start, piece and score of each piece of ``text`` that ends at ``end``, from short to long.
 
-        A character that is no piece is one arc of its single bytes.
+        A character that is no piece is one arc of its single bytes. No piece is longer than an
+        ending that none has.
         """
-        last, found, known = text[end - 1], [], self.known
-        for length in self.lengths.get(last, ()):
-            if length > end:
-                break
-            hit = known.get(text[end - length:end])
+        found, endings = [], self.endings
+        for start in range(end - 1, -1, -1):
+            hit = endings.get(text[start:end])
             if hit:
-                found.append((end - length, hit[0], hit[1]))
-        if last not in known:
+                found.append((start, *hit))
+            elif hit is None:
+                break
+        last = text[end - 1]
+        if not endings.get(last):
             spelled = last.encode()
             found.append((end - 1, spelled, sum(self.scores[self.bytes_at[b]] for b in spelled)))
         return found

@@ -12,8 +12,8 @@ from tallyweave.llm.rows import IDENTITY, bound, join_rows, wrapped
 
 #: A line on so many sites is boilerplate.
 LEAST_SITES = 10
-#: Shorter lines are left alone, unless the caller says otherwise.
-LEAST_WORDS = 3
+#: Lines without a word are left alone, others only if the caller says so.
+LEAST_WORDS = 1
 #: Logarithm of the number of registers of a sketch.
 REGISTERS = 12
 #: Relative error beyond which an estimate is trusted: four standard deviations.

@@ -49,7 +49,7 @@ LINES_GONE = r"""
 lines AS (
     SELECT doc_id, source, place, line FROM (
         SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS place FROM {docs}
-    ) WHERE len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) >= 3
+    ) WHERE len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) >= 1
 ), boilerplate AS (
     SELECT line, min((doc_id, place)) AS first FROM lines GROUP BY line HAVING count(DISTINCT source) >= 10
 ), gone AS (

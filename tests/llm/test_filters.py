@@ -15,7 +15,7 @@ def test_lines_on_many_sites_stay_once(documents):
     rows = [(k, f"own line {k} here\n{BOILERPLATE}\nshort\n\nshort", f"site{k % 12}") for k in range(30)]
     rows += [(100, f"{BOILERPLATE}\n{BOILERPLATE}", None), (101, BOILERPLATE.upper(), "site1")] + ODD
     docs = documents(rows).withColumn("_gone", F.lit("clash"))
-    found = line_dedup.without_boilerplate(docs, removed="n_removed").collect()
+    found = line_dedup.without_boilerplate(docs, removed="n_removed", least_words=3).collect()
     by_key = {r["doc_id"]: r for r in found if r["doc_id"] is not None}
     assert len(found) == len(rows) and found[0]["_gone"] == "clash"
     assert by_key[0]["text"] == rows[0][1] or by_key[0]["n_removed"] == 0
@@ -42,6 +42,13 @@ def test_short_lines_go_in_the_pipeline(spark, documents):
         assert (found[k]["text"], found[k]["n_chars"]) == (left, len(left))
 
 
+def test_short_lines_go_by_default(documents):
+    rows = [(k, f"own line {k} here\nLes.\n\n \t\nLes.", f"s{k}") for k in range(12)]
+    found = {r["doc_id"]: r["text"] for r in line_dedup.without_boilerplate(documents(rows)).collect()}
+    assert found[0] == "own line 0 here\nLes.\n\n \t"
+    assert all(found[k] == f"own line {k} here\n\n \t" for k in range(1, 12))
+
+
 def test_lines_without_rows(documents):
     assert line_dedup.without_boilerplate(documents([])).collect() == []
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -19,6 +20,12 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from tallyweave.llm.common import ranges, starts_of
 from tallyweave.llm.wordblocks import answered, assembled, coded, words_of
 
+#: The characters of Unicode's property White_Space, which ``\s`` of ``PATTERN`` stands for.
+SPACES = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: Runs for ``public_tokenizers.PATTERN``: its matches are white space alone, or other characters with at
+#: most one blank before them, and beyond its end a match only depends on whether white space follows.
+RUNS = rf" ?[^{SPACES}]+|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]"
+
 
 @functools.cache
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -39,12 +46,16 @@ def encoder(spark: SparkSession, ranks: dict[bytes, int], pattern: str) -> Calla
     return lambda: _encoding(id(shared), shared).encode_ordinary
 
 
-def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, keep: list[str], text: str = "text", ids: str = "ids") -> DataFrame:
+def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, keep: list[str], text: str = "text", ids: str = "ids", runs: str | None = None) -> DataFrame:
     """Columns ``keep`` and the token ids of every whole text, as ``array<int>``.
 
     Each match of ``pattern`` is merged by itself; no special tokens. Every distinct match is
     encoded once in the whole corpus. A null or empty text has no ids. Rows are kept as they
     are, repeated ones too; further columns of ``docs`` play no part.
+
+    ``runs`` is a pattern of the standard library whose matches cover a text and each hold
+    whole matches of ``pattern``, the same ones wherever the run stands: a block of documents
+    then cuts each distinct run by ``pattern`` once. ``RUNS`` is one for ``PATTERN``.
     """
     shared = docs.sparkSession.sparkContext.broadcast((pattern, ranks))     # a vocabulary, of fixed size
 
@@ -69,7 +80,8 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, keep: list[st
 
     column = T.StructField(ids, T.ArrayType(T.IntegerType(), False))
     item = to_arrow_schema(T.StructType([column])).field(0).type.value_field
-    blocks = coded(docs, text, keep, split)
+    cheap = (lambda: re.compile(runs).findall) if runs else None
+    blocks = coded(docs, text, keep, split, runs=cheap)
     return assembled(blocks, answered(words_of(blocks), answer), finish, [column])
 
 
@@ -108,9 +120,9 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int], ids: str = "ids", out: s
     return encoded.mapInArrow(joined, schema)
 
 
-def digests(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
+def digests(docs: DataFrame, ranks: dict[bytes, int], pattern: str, runs: str | None = None) -> DataFrame:
     """Per document: the number of ids, a digest of them, and one of the bytes they decode to."""
-    decoded = decode(encode(docs, ranks, pattern, ["doc_id"]), ranks, digest="ids_sha256")
+    decoded = decode(encode(docs, ranks, pattern, ["doc_id"], runs=runs), ranks, digest="ids_sha256")
     return decoded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids_sha256",
         F.sha2("decoded", 256).alias("decoded_sha256"),

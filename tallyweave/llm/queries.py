@@ -27,7 +27,7 @@ def query(function):
 
 @query
 def op6_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
-    return byte_bpe.digests(table(spark, folder, "documents"), byte_bpe.read_ranks(RANKS), public_tokenizers.PATTERN)
+    return byte_bpe.digests(table(spark, folder, "documents"), byte_bpe.read_ranks(RANKS), public_tokenizers.PATTERN, byte_bpe.RUNS)
 
 
 @query

@@ -14,6 +14,7 @@ are no hot keys.
 
 from __future__ import annotations
 
+import itertools
 import zlib
 from collections import defaultdict
 from collections.abc import Callable, Iterator
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tallyweave.llm.common import cut, pack, pack_codes, partitions, unpack, unpack_codes, unpack_flat
+from tallyweave.llm.common import cut, pack, pack_codes, partitions, ranges, starts_of, unpack, unpack_codes, unpack_flat
 
 #: Characters of text a block takes before it is closed; a longer document is a block of its own.
 BLOCK_CHARS = 8 << 20
@@ -37,12 +38,14 @@ Split = Callable[[], Callable[[str], list]]
 Answer = Callable[[], Callable[[list, list], list]]
 
 
-def coded(docs: DataFrame, text: str, keep: list[str], split: Split, counted: str | None = None, store: bool = False) -> DataFrame:
+def coded(docs: DataFrame, text: str, keep: list[str], split: Split, counted: str | None = None, store: bool = False, runs: Split | None = None) -> DataFrame:
     """Blocks of documents and their distinct words.
 
     ``split`` makes the function that cuts a text (null counts as empty) into words, all str or
     all bytes. ``counted`` names a boolean column: words then carry how often they stand in
     documents where it is true. Rows with ``owner`` -1 are blocks, others words of a block.
+    ``runs`` likewise makes a cheaper function that cuts a text into runs, for texts whose words
+    are those of their runs, one run after the other; a block then splits each distinct run once.
 
     Unless ``store``, blocks are made again for each use, which takes the time of cutting texts
     and spares a copy of the corpus. A block's number comes from what it holds, so that blocks
@@ -64,23 +67,38 @@ def coded(docs: DataFrame, text: str, keep: list[str], split: Split, counted: st
     arrow = to_arrow_schema(schema)
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut_up = split()
+        of_run = split()
+        cut_up = runs() if runs else of_run
         start = TaskContext.get().partitionId().to_bytes(8, "little")
         seen, number = xxhash.xxh3_64(start), 0
-        rows, sizes, codes, flags, chars = [], [], [], [], 0
+        rows, codes, flags, chars = [], [], [], 0
         index: defaultdict = defaultdict()
         index.default_factory = index.__len__
 
+        def numbered() -> tuple[list, list[np.ndarray]]:
+            """The distinct words of the block and, per document, their numbers."""
+            if not runs:
+                return list(index), codes
+            own: defaultdict = defaultdict()
+            own.default_factory = own.__len__
+            split_up = list(map(of_run, index))
+            lengths = np.fromiter(map(len, split_up), np.int64, len(split_up))
+            flat = np.fromiter(map(own.__getitem__, itertools.chain.from_iterable(split_up)), np.int64, int(lengths.sum()))
+            starts = starts_of(lengths)
+            return list(own), [flat[ranges(starts[c], lengths[c])] for c in codes]
+
         def closed() -> pa.RecordBatch:
             block = seen.intdigest() - (1 << 63)
-            words = [w.encode() if isinstance(w, str) else w for w in index]
-            sequence = np.concatenate(codes) if codes else np.zeros(0, np.int64)
+            found, places = numbered()
+            sizes = list(map(len, places))
+            words = [w.encode() if isinstance(w, str) else w for w in found]
+            sequence = np.concatenate(places) if places else np.zeros(0, np.int64)
             shares: list[list] = [[] for _ in range(owners)]
             for at, word in enumerate(words):
                 shares[zlib.crc32(word) % owners].append((word, at))
             counts = np.zeros(len(words), np.int64)
             if any(flags):
-                marked = np.concatenate([c for c, flag in zip(codes, flags) if flag])
+                marked = np.concatenate([c for c, flag in zip(places, flags) if flag])
                 counts = np.bincount(marked, minlength=len(words))
             place, at = np.zeros(len(words), np.int64), 0
             out = [(block, -1, b"", b"")]
@@ -107,7 +125,6 @@ def coded(docs: DataFrame, text: str, keep: list[str], split: Split, counted: st
                 content = texts[at].as_py()
                 words = cut_up(content)
                 seen.update(content.encode() + b"\0")
-                sizes.append(len(words))
                 codes.append(np.fromiter(map(index.__getitem__, words), np.int64, len(words)))
                 flags.append(marks[at].as_py())
                 chars += len(content)
@@ -115,12 +132,12 @@ def coded(docs: DataFrame, text: str, keep: list[str], split: Split, counted: st
                     rows.append(held.slice(taken, at + 1 - taken))
                     yield closed()
                     taken, number, chars = at + 1, number + 1, 0
-                    rows, sizes, codes, flags = [], [], [], []
+                    rows, codes, flags = [], [], []
                     index.clear()
                     seen = xxhash.xxh3_64(start + number.to_bytes(8, "little"))
             if taken < batch.num_rows:
                 rows.append(held.slice(taken))
-        if sizes:
+        if codes:
             yield closed()
 
     made = chosen.mapInArrow(blocks, schema)

@@ -1,11 +1,13 @@
 import hashlib
 import math
 import random
+import re
 from functools import cache
 
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
 import tiktoken
 from conftest import ODD, words
 from pyspark.sql import functions as F
@@ -29,10 +31,19 @@ def fuzz(count=150):
     return [(1000 + k, "".join(pick.choice(signs) for _ in range(pick.randint(1, 60))), "f") for k in range(count)]
 
 
-def test_bpe_equals_the_library(documents):
+def test_runs_hold_whole_matches():
+    one, run = regex.compile(public_tokenizers.PATTERN).findall, re.compile(byte_bpe.RUNS).findall
+    for _, text, _ in ODD + fuzz(20_000):
+        assert [w for r in run(text or "") for w in one(r)] == one(text or "")
+    spaces = re.compile(f"[{byte_bpe.SPACES}]").match
+    assert all(bool(spaces(c)) == bool(regex.match(r"\s", c)) for c in map(chr, range(0x110000)))
+
+
+@pytest.mark.parametrize("runs", [None, byte_bpe.RUNS])
+def test_bpe_equals_the_library(documents, runs):
     rows = ODD + fuzz()
     docs = documents(rows).withColumn("ids", F.lit("clash")).repartition(3)
-    found = byte_bpe.digests(docs, byte_bpe.read_ranks(RANKS), public_tokenizers.PATTERN).collect()
+    found = byte_bpe.digests(docs, byte_bpe.read_ranks(RANKS), public_tokenizers.PATTERN, runs).collect()
     want = []
     for key, text, _ in rows:
         ids = encoding().encode_ordinary(text or "")
@@ -42,7 +53,7 @@ def test_bpe_equals_the_library(documents):
 
 
 def test_bpe_without_rows(documents):
-    assert byte_bpe.digests(documents([]), byte_bpe.read_ranks(RANKS), public_tokenizers.PATTERN).collect() == []
+    assert byte_bpe.digests(documents([]), byte_bpe.read_ranks(RANKS), public_tokenizers.PATTERN, byte_bpe.RUNS).collect() == []
 
 
 def segmentations(text):

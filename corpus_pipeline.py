@@ -46,7 +46,7 @@ def without_leaks(spark: SparkSession, docs: DataFrame, folder: str) -> DataFram
 
 def encoded(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Token ids of what is left: their number and digest, and that of the bytes they decode to."""
-    return byte_bpe.digests(docs, byte_bpe.read_ranks(RANKS), public_tokenizers.PATTERN)
+    return byte_bpe.digests(docs, byte_bpe.read_ranks(RANKS), public_tokenizers.PATTERN, byte_bpe.RUNS)
 
 
 STAGES = [

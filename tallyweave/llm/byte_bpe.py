@@ -81,7 +81,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, keep: list[st
     column = T.StructField(ids, T.ArrayType(T.IntegerType(), False))
     item = to_arrow_schema(T.StructType([column])).field(0).type.value_field
     cheap = (lambda: re.compile(runs).findall) if runs else None
-    blocks = coded(docs, text, keep, split, runs=cheap)
+    blocks = coded(docs, text, keep, split, runs=cheap, bucketed=True)
     return assembled(blocks, answered(words_of(blocks), answer), finish, [column])
 
 

@@ -15,6 +15,7 @@ are no hot keys.
 from __future__ import annotations
 
 import itertools
+import uuid
 import zlib
 from collections import defaultdict
 from collections.abc import Callable, Iterator
@@ -30,6 +31,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from tallyweave.llm.common import cut, pack, pack_codes, partitions, ranges, starts_of, unpack, unpack_codes, unpack_flat
+from tallyweave.session import shared_folder, staging_database
 
 #: Characters of text a block takes before it is closed; a longer document is a block of its own.
 BLOCK_CHARS = 8 << 20
@@ -38,7 +40,7 @@ Split = Callable[[], Callable[[str], list]]
 Answer = Callable[[], Callable[[list, list], list]]
 
 
-def coded(docs: DataFrame, text: str, keep: list[str], split: Split, counted: str | None = None, store: bool = False, runs: Split | None = None) -> DataFrame:
+def coded(docs: DataFrame, text: str, keep: list[str], split: Split, counted: str | None = None, store: bool = False, runs: Split | None = None, bucketed: bool = False) -> DataFrame:
     """Blocks of documents and their distinct words.
 
     ``split`` makes the function that cuts a text (null counts as empty) into words, all str or
@@ -50,7 +52,9 @@ def coded(docs: DataFrame, text: str, keep: list[str], split: Split, counted: st
     Unless ``store``, blocks are made again for each use, which takes the time of cutting texts
     and spares a copy of the corpus. A block's number comes from what it holds, so that blocks
     made from rows in another order (``docs`` should be a table or a checkpoint) find no answers
-    and raise an error in ``assembled``.
+    and raise an error in ``assembled``. ``bucketed`` stores them by the hash of the block, as a
+    table in the shared folder: texts are cut once, and ``assembled`` reads blocks where they lie
+    instead of shuffling them to their answers.
     """
     owners = partitions(docs.sparkSession)
     kept = T.StructType([docs.schema[name] for name in keep])
@@ -62,7 +66,7 @@ def coded(docs: DataFrame, text: str, keep: list[str], split: Split, counted: st
     schema = T.StructType([
         T.StructField("block", T.LongType()), T.StructField("owner", T.IntegerType()),
         T.StructField("rows", T.ArrayType(kept)), T.StructField("sizes", T.BinaryType()),
-        T.StructField("payload", T.BinaryType()),
+        T.StructField("payload", T.BinaryType()), T.StructField("sequence", T.BinaryType()),
     ])
     arrow = to_arrow_schema(schema)
 
@@ -101,21 +105,21 @@ def coded(docs: DataFrame, text: str, keep: list[str], split: Split, counted: st
                 marked = np.concatenate([c for c, flag in zip(places, flags) if flag])
                 counts = np.bincount(marked, minlength=len(words))
             place, at = np.zeros(len(words), np.int64), 0
-            out = [(block, -1, b"", b"")]
+            out = [(block, -1, b"", None, b"")]
             for owner, share in enumerate(shares):
                 if share:
                     share.sort()
                     order = np.fromiter((x[1] for x in share), np.int64, len(share))
                     place[order] = np.arange(at, at + len(share))
                     at += len(share)
-                    out.append((block, owner, pack_codes(counts[order]), pack([x[0] for x in share])))
-            out[0] = (block, -1, pack_codes(np.array(sizes, np.int64)), pack_codes(place[sequence]))
+                    out.append((block, owner, pack_codes(counts[order]), pack([x[0] for x in share]), None))
+            out[0] = (block, -1, pack_codes(np.array(sizes, np.int64)), None, pack_codes(place[sequence]))
             held = pa.concat_arrays(rows)
             offsets = pa.array([0] + [len(held)] * len(out), pa.int32())
             return pa.RecordBatch.from_arrays([
                 pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int32()),
                 pa.ListArray.from_arrays(offsets, held, type=arrow.field("rows").type),
-                pa.array([x[2] for x in out], pa.binary()), pa.array([x[3] for x in out], pa.binary()),
+                *(pa.array([x[k] for x in out], pa.binary()) for k in (2, 3, 4)),
             ], schema=arrow)
 
         for batch in batches:
@@ -141,7 +145,17 @@ def coded(docs: DataFrame, text: str, keep: list[str], split: Split, counted: st
             yield closed()
 
     made = chosen.mapInArrow(blocks, schema)
-    return cut(made) if store else made
+    return _bucketed(made, "block") if bucketed else cut(made) if store else made
+
+
+def _bucketed(df: DataFrame, key: str) -> DataFrame:
+    """The frame as a table in the shared folder, in buckets by the hash of ``key``; lineage ends here."""
+    spark = df.sparkSession
+    database = staging_database(spark)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{shared_folder(spark)}/{database}'")
+    name = f"{database}.buckets_{uuid.uuid4().hex[:12]}"
+    df.write.format("parquet").bucketBy(partitions(spark), key).saveAsTable(name)
+    return spark.table(name)
 
 
 def words_of(blocks: DataFrame) -> DataFrame:
@@ -193,12 +207,12 @@ def assembled(blocks: DataFrame, answers: DataFrame, finish: Callable, columns:
         flat = [unpack_flat(x[1]) for x in parts]
         lengths = np.concatenate([x[0] for x in flat]) if flat else np.zeros(0, np.uint32)
         made = finish(
-            unpack_codes(left.column("payload")[0].as_py()), unpack_codes(left.column("sizes")[0].as_py()),
+            unpack_codes(left.column("sequence")[0].as_py()), unpack_codes(left.column("sizes")[0].as_py()),
             lengths, b"".join(x[1] for x in flat),
         )
         return pa.Table.from_arrays([
             *(own.field(k).cast(arrow.field(k).type) for k in range(len(kept.fields))), *made,
         ], schema=arrow)
 
-    left = blocks.where("owner < 0").select("block", "rows", "sizes", "payload")
+    left = blocks.where("owner < 0").select("block", "rows", "sizes", "sequence")
     return left.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(block, schema)

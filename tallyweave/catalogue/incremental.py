@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 from tallyweave.catalogue.adapters import o_time, raw, rows_of, spark_sql, table
 from tallyweave.catalogue.registry import query
 from tallyweave.operators.incremental import (
-    advance_watermark, created_since as created_since_in, cursor_page as cursor_page_of, cursor_range, cursor_ranges as cursor_ranges_of,
+    ExtractState, advance_watermark, created_since as created_since_in, cursor_page as cursor_page_of, cursor_range, cursor_ranges as cursor_ranges_of,
     effective_watermark as effective_watermark_of, extract_summary as extract_summary_of,
     incremental_read as incremental_read_of, latest_state, live_state, next_cursor as next_cursor_of,
     page_chain as page_chain_of, page_completeness as page_completeness_of,
 )
+from tallyweave.session import fresh_folder
 from tallyweave.sources.landing import BATCH, EXTRACTED, FILE
 
 WATERMARK = datetime(1999, 1, 1, 0, 0, 0, 250000, tzinfo=timezone.utc)
@@ -140,15 +141,30 @@ def _log(spark, folder):
     )
 
 
-@query("state_latest", f"""{_LIVE}
+_LATEST = f"""{_LIVE}
     select source, entity, arg_max_null(last_cursor, last_run_at) as last_cursor,
       arg_max(records_synced_last_run, last_run_at) as records_synced_last_run, arg_max(status, last_run_at) as status
-    from live group by source, entity""")
+    from live group by source, entity"""
+
+
+@query("state_latest", _LATEST)
 def state_latest(spark, folder):
     return latest_state(_log(spark, folder)).select(
         "source", "entity", "last_cursor", "records_synced_last_run", "status")
 
 
+@query("state_compacted", _LATEST)
+def state_compacted(spark, folder):
+    """The same state when the log was taken into snapshots twice, each time before more runs and resets."""
+    state = ExtractState(spark, fresh_folder(spark, "state"))
+    rows = _log(spark, folder).withColumn("h", F.xxhash64("status", "last_run_at"))
+    for part in range(3):
+        rows.where(F.pmod("h", F.lit(3)) == part).drop("h").write.mode("append").parquet(state.path)
+        if part < 2:
+            state.compact()
+    return state.latest().select("source", "entity", "last_cursor", "records_synced_last_run", "status")
+
+
 @query("state_keep_previous", f"""{_LIVE}
     select source, entity, arg_max(last_extracted_timestamp, last_run_at) as last_extracted_timestamp
     from live group by source, entity""")

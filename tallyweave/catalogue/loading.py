@@ -138,6 +138,19 @@ def upsert_write_shuffled(spark, folder):
     return _text_times(_loaded_charges(warehouse, spark, folder).read("transactions"))
 
 
+@query("buckets_doubled", _STORED_CHARGES)
+def buckets_doubled(spark, folder):
+    """The same load in two parts, with the buckets doubled between them and afterwards."""
+    warehouse = _warehouse(spark, buckets=4)
+    mapped = mapping.billing_charges(raw(spark, folder, "billing_charges"), AS_OF)
+    charges = write_curated(mapped, fresh_folder(spark, "curated"), "transactions", json=False)
+    warehouse.upsert("transactions", charges.where(F.pmod(F.xxhash64("source_transaction_id"), F.lit(2)) == 0), "early", now=NOW)
+    warehouse.double_buckets("transactions")
+    _loaded_charges(warehouse, spark, folder)
+    warehouse.double_buckets("transactions")
+    return _text_times(warehouse.read("transactions"))
+
+
 @query("load_audit", f"""
     with c as (select transaction_date as d from ({MAPPED['billing_charges']}))
     select 'first' as batch_id, 'fact_transactions' as target_table, count(*) as rows_processed,

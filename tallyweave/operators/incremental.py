@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 
 from tallyweave.functions.times import ISO_FORMAT, parse_time
 from tallyweave.schemas import EXTRACT_STATE
-from tallyweave.session import fresh_folder
+from tallyweave.session import fresh_folder, stored
 from tallyweave.sources.landing import BATCH, EXTRACTED, FILE
 
 # -- incremental reads ---------------------------------------------------------
@@ -261,6 +261,20 @@ def latest_state(log: DataFrame) -> DataFrame:
     )
 
 
+def compacted_log(log: DataFrame) -> DataFrame:
+    """The rows of a state log that can still decide a later answer, at most two per key and kind.
+
+    These are the last run, the last run with a watermark, and the last reset of every source
+    and entity. A row with a later one of its kind is never asked for: a reset that covers the
+    later one covers it as well. Whatever is added, the log gives the same state as before.
+    """
+    row, ran = F.struct(*log.columns), F.col("last_run_at")
+    marked = F.when(F.col("last_extracted_timestamp").isNotNull(), ran)
+    kept = log.groupBy("source", "entity", "is_reset").agg(F.max_by(row, ran).alias("last"), F.max_by(row, marked).alias("marked"))
+    rows = F.array_distinct(F.array_compact(F.array("last", "marked")))
+    return kept.select(F.explode(rows).alias("row")).select("row.*")
+
+
 def effective_watermark(given: Column, stored: Column) -> Column:
     """The watermark asked for, else the stored one when it can be read."""
     return F.coalesce(given.try_cast("timestamp"), parse_time(stored))
@@ -272,19 +286,39 @@ def advance_watermark(df: DataFrame, watermark_col: str) -> DataFrame:
 
 
 class ExtractState:
-    """Append-only state log at ``path``; every read takes the latest row per key."""
+    """State log at ``path`` and its snapshot beside it; every read takes the latest row per key.
+
+    Each update adds a file, so ``compact`` should be called now and then: it leaves what still
+    counts in the snapshot and an empty log.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
+        self.spark, self.path = spark, path.rstrip("/")
+        self.snapshot = f"{self.path}-snapshot"
 
-    def log(self) -> DataFrame:
+    def _rows(self, path: str) -> DataFrame:
         try:
-            return self.spark.read.schema(EXTRACT_STATE).parquet(self.path)
+            return self.spark.read.schema(EXTRACT_STATE).parquet(path)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return self.spark.createDataFrame([], EXTRACT_STATE)
 
+    def log(self) -> DataFrame:
+        """Snapshot and log. A row may stand in both, which changes no answer."""
+        return self._rows(self.snapshot).unionByName(self._rows(self.path))
+
+    def compact(self) -> None:
+        """Take the log into the snapshot; not to be run beside updates.
+
+        At every moment the log or the snapshot holds all rows that count, so what stops halfway
+        loses nothing and can be repeated.
+        """
+        with stored(compacted_log(self.log()), "state") as kept:
+            kept.write.mode("append").parquet(self.path)
+            kept.write.mode("overwrite").parquet(self.snapshot)
+            self.spark.createDataFrame([], EXTRACT_STATE).write.mode("overwrite").parquet(self.path)
+
     def latest(self) -> DataFrame:
         return latest_state(self.log())
 

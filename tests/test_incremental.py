@@ -81,6 +81,30 @@ def test_state(spark, tmp_path):
     assert (row.records_synced_last_run, row.status) == (0, "COMPLETED")
 
 
+def test_compacted_state(spark, tmp_path):
+    state, whole = ExtractState(spark, str(tmp_path / "state")), ExtractState(spark, str(tmp_path / "whole"))
+    state.compact()     # nothing there yet
+    steps = [("stripe", "charges", 1, "a"), ("stripe", "charges", None, "b"), None, ("stripe", "refunds", 2, None),
+             ("stripe", "charges", None, "c"), "compact", ("stripe", "charges", 3, None), "compact", "compact", None, ("salesforce", "leads", 4, "d")]
+    for hour, step in enumerate(steps):
+        if step == "compact":
+            state.compact()
+            assert state._rows(state.path).isEmpty() and len(state.log().inputFiles()) <= 8
+            continue
+        for one in (state, whole):
+            if step:
+                source, entity, day, cursor = step
+                one.update(source, entity, utc(2024, 1, day) if day else None, cursor, hour, at=utc(2024, 2, 1, hour))
+            else:
+                one.reset("stripe", "refunds" if hour > 5 else None, at=utc(2024, 2, 1, hour))
+        assert sorted(state.latest().collect()) == sorted(whole.latest().collect())
+    assert state.log().count() <= 6
+    # A late run that a reset covered stays covered.
+    for one in (state, whole):
+        one.update("stripe", "refunds", utc(2024, 1, 9), "late", at=utc(2024, 2, 1, 5))
+    assert sorted(state.latest().collect()) == sorted(whole.latest().collect())
+
+
 def test_state_resets(spark, tmp_path):
     state = ExtractState(spark, str(tmp_path / "state"))
     for source, entity_name in (("stripe", "customers"), ("stripe", "charges"), ("salesforce", "orders")):

@@ -160,13 +160,16 @@ def _shard(held: list[bytes], first: int, shard: int) -> tuple:
     return first // shard, first, len(held), len(held[0]), b"".join(held)
 
 
-def read_from(written: DataFrame, slot: int) -> DataFrame:
+def read_from(written: DataFrame, slot: int, shard: int = SHARD) -> DataFrame:
     """Sequences from a slot on, as ``slot`` and ``tokens`` (bytes), from stored shards.
 
-    Shards before that of the slot are left out by the scan.
+    ``shard`` is the number of sequences a whole shard was written with. The number of a shard
+    is compared with that of the slot, a filter the scan takes: files and row groups of earlier
+    shards are left out by their statistics. A slot beyond the end gives no rows, one below 0
+    all; an empty table gives none.
     """
     places = F.explode(F.sequence(F.lit(0), F.col("n_sequences") - 1)).alias("k")
-    cells = written.where(F.col("first_slot") + F.col("n_sequences") > slot).select("*", places)
+    cells = written.where(F.col("shard") >= max(0, slot) // shard).select("*", places)
     return cells.select(
         (F.col("first_slot") + F.col("k")).alias("slot"),
         F.substring("payload", F.col("k") * F.col("stride") + 1, F.col("stride")).alias("tokens"),

@@ -156,9 +156,17 @@ def test_training_order_round_trip(spark, documents, tmp_path):
             own.append(token)
     want = [tuple(encoding().encode_ordinary(t or "")) for _, t, _ in rows]
     assert sorted(x for x in texts if x) == sorted(x for x in want if x) and len(texts) >= len(want) and not own
-    later = training_order.read_from(spark.read.parquet(stored), 13).orderBy("slot").collect()
-    assert [r["slot"] for r in later] == list(range(13, len(slots)))
-    assert later[0]["tokens"] == slots[13].tobytes()
+    for start in (-1, 0, 7, 8, 13, len(slots) - 1, len(slots), 10_000):
+        later = training_order.read_from(spark.read.parquet(stored), start, shard=8).orderBy("slot").collect()
+        assert [r["slot"] for r in later] == list(range(max(0, start), len(slots)))
+        assert [r["tokens"] for r in later] == [x.tobytes() for x in slots[max(0, start):]]
+
+
+def test_reading_on_is_a_filter_of_the_scan(spark, tmp_path, capsys):
+    stored = str(tmp_path / "shards")
+    spark.sql("select 0L as shard, 0L as first_slot, 2 as n_sequences, 1 as stride, X'0102' as payload").write.parquet(stored)
+    training_order.read_from(spark.read.parquet(stored), 1000).explain("formatted")
+    assert "GreaterThanOrEqual(shard,3)" in capsys.readouterr().out
 
 
 def test_training_order_without_rows(spark, documents):

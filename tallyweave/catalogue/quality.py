@@ -14,10 +14,11 @@ from tallyweave.catalogue.resolved import FACTS, PROFILES, all_tables, customer_
 from tallyweave.operators import mapping
 from tallyweave.operators.quality import gate_verdicts as gate_verdicts_of
 from tallyweave.operators.quality import (
-    ROW_RULES, check_rows, error_sample as error_sample_of, null_counts as null_counts_of,
-    quality_alerts as quality_alerts_of, quality_reports, row_is_valid, storage_rules,
+    ROW_RULES, check_rows, error_sample as error_sample_of, folded_reports, null_counts as null_counts_of,
+    quality_alerts as quality_alerts_of, quality_reports, quality_state, row_is_valid, storage_rules,
 )
 from tallyweave.plans.run import REPORT_NAMES
+from tallyweave.session import fresh_folder, stored
 
 _TABLES = {
     "customers": (PROFILES, CUSTOMER_NAMES),
@@ -114,6 +115,19 @@ def quality_all(spark, folder):
         [(REPORT_NAMES[n], t, ROW_RULES[n]) for n, t in all_tables(spark, folder).items()]))
 
 
+@query("quality_folded", " union all ".join(_report(n, 95.0) for n in _TABLES))
+def quality_folded(spark, folder):
+    """The same reports folded from the states of three parts of each table, one of them stored twice."""
+    path = fresh_folder(spark, "quality_states")
+    for name, rows in all_tables(spark, folder).items():
+        rules = ROW_RULES[name]
+        with stored(rows, f"{name}_parts") as held:
+            for part in (0, 1, 2, 1):
+                own = held.where(F.pmod(F.xxhash64(*held.columns), F.lit(3)) == part)
+                quality_state(own, rules, REPORT_NAMES[name], str(part)).write.mode("append").parquet(path)
+    return _flat(folded_reports(spark.read.parquet(path)))
+
+
 @query("quality_alerts", f"""
     select dataset_name, total_records, invalid_records, quality_score_percent,
       'Data Quality Threshold Warning - ' || dataset_name as title,

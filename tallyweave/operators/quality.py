@@ -167,6 +167,12 @@ def error_sample(df: DataFrame, rules: RuleSet, size: int = ERRORS_SHOWN) -> Dat
     return first.where(~F.col("is_valid")).select("row_key", "error")
 
 
+def _score(total: Column, valid: Column) -> Column:
+    return F.when(total == 0, F.lit(100.0)).otherwise(
+        valid.cast("double") / F.nullif(total, F.lit(0)).cast("double") * 100.0
+    )
+
+
 def quality_totals(
     df: DataFrame, rules: RuleSet, dataset: str, threshold: float = PASS_PERCENT
 ) -> DataFrame:
@@ -185,9 +191,7 @@ def quality_totals(
     for c in df.columns:
         pairs += [F.lit(c), F.col(f"_nulls.{c}")]
     no_counts = F.create_map().cast(T.MapType(T.StringType(), T.LongType()))
-    score = F.when(total == 0, F.lit(100.0)).otherwise(
-        valid.cast("double") / F.nullif(total, F.lit(0)).cast("double") * 100.0
-    )
+    score = _score(total, valid)
     return counts.select(
         F.lit(dataset).alias("dataset_name"),
         "total_records",
@@ -223,6 +227,43 @@ def quality_reports(
     )
 
 
+def quality_state(df: DataFrame, rules: RuleSet, dataset: str, part: str) -> DataFrame:
+    """What one part of a table, such as a micro-batch, adds to its report, as one row.
+
+    ``folded_reports`` makes reports from many of them, without the rows. ``df`` is read twice.
+    """
+    errors = error_sample(df, rules).agg(F.collect_list(F.struct("row_key", "error")).alias("errors"))
+    return quality_totals(df, rules, dataset).select(
+        "dataset_name", F.lit(part).alias("part"), "total_records", "valid_records", "null_counts_by_field",
+        errors.scalar().alias("errors"))
+
+
+def folded_reports(states: DataFrame, threshold: float = PASS_PERCENT) -> DataFrame:
+    """The reports of the tables whose parts are given, one row per dataset.
+
+    A part that is there twice, as a repeated micro-batch leaves it, counts once. Parts of a
+    table must not share rows; a key that stands in two parts is two rows. No states give no reports.
+    """
+    parts = states.dropDuplicates(["dataset_name", "part"])
+    sums = parts.groupBy("dataset_name").agg(F.sum("total_records").alias("total_records"), F.sum("valid_records").alias("valid_records"))
+    # Fields keep the order in which the parts name them.
+    fields = parts.select("dataset_name", F.posexplode("null_counts_by_field").alias("at", "field", "n")).groupBy("dataset_name", "field").agg(
+        F.min("at").alias("at"), F.sum("n").alias("n"))
+    nulls = fields.groupBy("dataset_name").agg(F.array_sort(F.collect_list(F.struct("at", "field", "n"))).alias("_nulls"))
+    first = Window.partitionBy("dataset_name").orderBy(F.col("row_key").asc_nulls_first(), "error")
+    shown = parts.select("dataset_name", F.inline("errors")).withColumn("at", F.row_number().over(first)).where(F.col("at") <= ERRORS_SHOWN)
+    errors = shown.groupBy("dataset_name").agg(F.array_sort(F.collect_list(F.struct("at", "error"))).alias("_errors"))
+    total, valid = F.col("total_records"), F.col("valid_records")
+    score = _score(total, valid)
+    pairs = F.transform(F.coalesce("_nulls", F.array().cast("array<struct<at:int,field:string,n:bigint>>")), lambda x: F.struct(x["field"], x["n"]))
+    return sums.join(nulls, "dataset_name", "left").join(errors, "dataset_name", "left").select(
+        "dataset_name", "total_records", "valid_records", (total - valid).alias("invalid_records"),
+        F.map_from_entries(pairs).alias("null_counts_by_field"),
+        round2(score).alias("quality_score_percent"), (score >= threshold).alias("passed_threshold"),
+        F.coalesce(F.transform("_errors", lambda e: e["error"]), F.array().cast("array<string>")).alias("validation_errors"),
+    ).select(*QUALITY_REPORT.fieldNames())
+
+
 class QualityGateError(ValueError):
     """A dataset scored below the pass mark."""
 

@@ -3,8 +3,8 @@ from pyspark.sql import functions as F
 from samples import entities, keyed
 
 from tallyweave.operators.quality import (
-    ROW_RULES, QualityGateError, check_rows, error_sample, null_counts, quality_alerts, quality_gate, quality_report,
-    quality_reports, storage_rules,
+    ROW_RULES, QualityGateError, check_rows, error_sample, folded_reports, null_counts, quality_alerts, quality_gate, quality_report,
+    quality_reports, quality_state, storage_rules,
 )
 from tallyweave.plans.canonical import build_canonical
 from tallyweave.schemas import CANONICAL
@@ -83,6 +83,22 @@ def test_pass_mark(spark, bad, score, passed):
     assert (row.quality_score_percent, row.passed_threshold, row.invalid_records) == (score, passed, bad)
 
 
+@pytest.mark.parametrize("sizes", [(30, 0, 9), (0,), (1, 1, 1, 1)])
+def test_folded_states_equal_the_report_of_all_rows(spark, sizes):
+    rules, made, states = ROW_RULES["customers"], [], None
+    for part, size in enumerate(sizes):
+        own = [{"unified_customer_id": f"c{i:02d}{part}" if i else None, "source_id": None if i % 2 else "x"} for i in range(size)]
+        made += own
+        # The first part comes twice, as a repeated micro-batch.
+        for _ in range(2 if part == 0 else 1):
+            rows = customers(spark, *own) if own else customers(spark, {}).limit(0)
+            state = quality_state(rows, rules, "Customers", str(part))
+            states = states.unionByName(state) if states else state
+    whole = quality_report(customers(spark, *made) if made else customers(spark, {}).limit(0), rules, "Customers")
+    assert folded_reports(states).collect() == whole.collect()
+    assert folded_reports(states.limit(0)).collect() == []
+
+
 def test_verdict_uses_the_score_before_rounding(spark):
     rows = spark.range(100000).select(
         F.concat(F.lit("c"), "id").alias("unified_customer_id"), F.lit("stripe").alias("source_system"),

@@ -121,9 +121,11 @@ def quality_folded(spark, folder):
     path = fresh_folder(spark, "quality_states")
     for name, rows in all_tables(spark, folder).items():
         rules = ROW_RULES[name]
-        with stored(rows, f"{name}_parts") as held:
+        dealt = rows.withColumn("_part", F.pmod(F.xxhash64(*rows.columns), F.lit(3)).cast("int"))
+        # Kept by part, so that each state reads its own rows only.
+        with stored(dealt, f"{name}_parts", "_part") as held:
             for part in (0, 1, 2, 1):
-                own = held.where(F.pmod(F.xxhash64(*held.columns), F.lit(3)) == part)
+                own = held.where(F.col("_part") == part).drop("_part")
                 quality_state(own, rules, REPORT_NAMES[name], str(part)).write.mode("append").parquet(path)
     return _flat(folded_reports(spark.read.parquet(path)))
 

@@ -24,6 +24,8 @@ ROWS = 6
 RECALL = 0.999
 #: Texts of a bucket that one task compares with as many others.
 BLOCK = 512
+#: Rows that are hashed at a time; with their n-grams a whole Arrow batch of long texts would be some hundred MB.
+ROWS_AT_ONCE = 500
 #: Pairs of a block from which they are counted by matrix product.
 DENSE_PAIRS = 256
 
@@ -155,9 +157,15 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     return once.select("_row.*").unionByName(kept.where(wordless).select("_row.*"))
 
 
+def _slices(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for frame in frames:
+        for start in range(0, len(frame), ROWS_AT_ONCE):
+            yield frame.iloc[start:start + ROWS_AT_ONCE].copy()
+
+
 def _signed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     hashes = Hashes()
-    for frame in frames:
+    for frame in _slices(frames):
         nodes, sizes, bands = [], [], []
         for content in frame.pop("_text"):
             own = grams(content, hashes)
@@ -169,7 +177,7 @@ def _signed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _with_grams(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     hashes = Hashes()
-    for frame in frames:
+    for frame in _slices(frames):
         yield frame.assign(grams=[grams(x, hashes).tobytes() for x in frame.pop("_text")])[["node", "bands", "size", "grams"]]
 
 

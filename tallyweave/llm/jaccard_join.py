@@ -26,6 +26,8 @@ RECALL = 0.999
 BLOCK = 512
 #: Rows that are hashed at a time; with their n-grams a whole Arrow batch of long texts would be some hundred MB.
 ROWS_AT_ONCE = 500
+#: Words whose hash a task remembers, some 200 bytes each.
+REMEMBERED = 100_000
 #: Pairs of a block from which they are counted by matrix product.
 DENSE_PAIRS = 256
 
@@ -52,7 +54,7 @@ class Hashes(dict):
     """Word to its 64-bit hash; forgets all when it grows large."""
 
     def __missing__(self, word: str) -> int:
-        if len(self) > 500_000:
+        if len(self) >= REMEMBERED:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word.encode())
         return value

@@ -151,7 +151,8 @@ def coded(docs: DataFrame, text: str, keep: list[str], split: Split, counted: st
 def _bucketed(df: DataFrame, key: str) -> DataFrame:
     """The frame as a table in the shared folder, in buckets by the hash of ``key``; lineage ends here."""
     spark = df.sparkSession
-    database = staging_database(spark)
+    # Apart from what is staged for a step only, as these tables stay.
+    database = f"{staging_database(spark)}_blocks"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{shared_folder(spark)}/{database}'")
     name = f"{database}.buckets_{uuid.uuid4().hex[:12]}"
     df.write.format("parquet").bucketBy(partitions(spark), key).saveAsTable(name)

@@ -191,3 +191,26 @@ def test_broken_text_is_raised_or_rejected(spark, tmp_path, layout):
     assert read_rejects(spark, str(tmp_path), "stripe", "charges", layout=layout).count() == 2
     with pytest.raises(Exception, match="unreadable text"):
         read("raise").select("id").collect()
+
+
+def test_a_landed_text_is_parsed_once(spark, tmp_path):
+    """Also where a filter on what is broken stands above."""
+    put(tmp_path, "raw/stripe/customers/year=2024/month=05/day=12/a.json", {"id": "c1"})
+    for on_broken in ("raise", "reject", "keep"):
+        found = read_landing(spark, str(tmp_path), "stripe", "customers", on_broken=on_broken)
+        assert found._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
+        assert values(found, "id") == ["c1"]
+    assert read_rejects(spark, str(tmp_path), "stripe", "customers").isEmpty()
+
+
+def test_landing_writes_days_side_by_side(spark, tmp_path):
+    """A task does not sort its rows by their days, and keeps the session as it was."""
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    rows = spark.range(6, numPartitions=1).select(F.col("id").cast("string").alias("id"))
+    days = F.timestamp_seconds(1715472000 + F.col("id").cast("bigint") % 3 * 86400)
+    write_landing(rows, str(tmp_path), "stripe", "customers", "b1", days)
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
+    found = read_landing(spark, str(tmp_path), "stripe", "customers").select("id", "_seq", "_extracted_at", "day").collect()
+    assert sorted(tuple(r) for r in found) == [
+        (str(k), k, f"2024-05-{12 + k % 3}T00:00:00.000000Z", 12 + k % 3) for k in range(6)]
+    assert len(values(list_batches(spark, str(tmp_path), "stripe", "customers"), "path")) == 3
